@@ -101,14 +101,14 @@ def threshold_sweep(
 
     points = slim.groupBy("j").agg(F.count("*").alias("predicted"), F.sum(positive).alias("hits"))
     stamps = event_stamps(slim, ts, key, label, F.when(F.col("j") < n, F.col("j")), **options)
-    stamps = materialize(stamps, "events")
     alone = F.col("prev_event").isNull() & F.col("next_event").isNull()
-    by_event = (
-        stamps.filter("positives > 0")
-        .groupBy("prev_event", "next_event", F.when(alone, F.col("own")).alias("own"))
-        .agg(F.sum("positives").alias("positives"))
+    # one row per event (or pair of touching events), plus one per rank outside any
+    events = materialize(
+        stamps.groupBy("prev_event", "next_event", F.when(alone, F.col("own")).alias("lone"))
+        .agg(F.sum("positives").alias("positives"), F.min("own").alias("own")),
+        "events",
     )
-    found = with_event_rank(by_event, event_ranks(stamps)).filter("best is not null")
+    found = with_event_rank(events.filter("positives > 0"), event_ranks(events)).filter("best is not null")
 
     tallies = (
         threshold_grid(df.sparkSession, low, high, n)

@@ -202,6 +202,14 @@ def with_row_number(df: DataFrame, order: list[str], name: str = "row_number", *
     return scan(order_frame(df, order, **options), **{name: ("sum", F.lit(1).cast("bigint"))})
 
 
+def number_within(df: DataFrame, by: list[str], order: list[str], name: str, **options) -> DataFrame:
+    """Row number within each ``by`` group, 1-based; a large group may span several buckets."""
+    numbered = with_row_number(df, [*by, *order], "__row", **options)
+    first = numbered.groupBy(*by).agg(F.min("__row").alias("__first"))
+    joined = numbered.join(first, by)
+    return joined.select(*df.columns, (F.col("__row") - F.col("__first") + 1).alias(name))
+
+
 def batch_numbers(df: DataFrame, order: list[str], batch_size: int, name: str = "batch", **options) -> DataFrame:
     """Number consecutive batches of ``batch_size`` rows, starting at 0."""
     numbered = with_row_number(df, order, "__row", **options)
