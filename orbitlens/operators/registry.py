@@ -26,7 +26,7 @@ def append_run(record: DataFrame, path: str) -> None:
 
 def latest_run(registry: DataFrame, run_name: str, *tie_break: str) -> DataFrame:
     """The most recent run of that name, as one row."""
-    return registry.filter(F.col("run_name") == run_name).orderBy(F.desc("start_time"), *tie_break).limit(1)
+    return registry.filter(F.col("run_name") == run_name).orderBy(F.desc("start_time"), *[F.desc(c) for c in tie_break]).limit(1)
 
 
 def require_run(registry: DataFrame, run_name: str) -> DataFrame:

@@ -88,12 +88,14 @@ def _score_lists(spark: SparkSession, weights: Weights):
 
 
 def score_vectors(df: DataFrame, features: list[str], scaler: dict[str, tuple[float, float]], weights: Weights,
-                  out: str = "nll") -> DataFrame:
+                  out: str = "nll", dtype: str = "float32") -> DataFrame:
     """Scaled model score of feature columns, batch or stream."""
     scaled = [((F.col(f) - F.lit(scaler[f][0])) / F.lit(scaler[f][1])).alias(f) for f in features]
     kept = [c for c in df.columns if c not in features]
-    vectors = df.select(*kept, *scaled).withColumn("__v", feature_vector(features))
-    return vectors.withColumn(out, nll_column(df.sparkSession, F.col("__v"), weights)).drop("__v")
+    vectors = df.select(*kept, *scaled).withColumn(
+        "__v", feature_vector(features, "double" if dtype == "float64" else "float")
+    )
+    return vectors.withColumn(out, nll_column(df.sparkSession, F.col("__v"), weights, dtype)).drop("__v")
 
 
 def label_stream(telemetry: DataFrame, ts: str, periods: DataFrame, label: str) -> DataFrame:
