@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from orbitlens.functions.scalars import threshold_grid, threshold_value
-from orbitlens.operators.intervals import event_ranks, event_stamps, spread_hits, with_event_rank
+from orbitlens.operators.intervals import (
+    event_ranks,
+    event_stamps,
+    event_totals,
+    mark_reached,
+    spread_hits,
+    with_event_rank,
+)
 from orbitlens.operators.ordered import rolling_median
 from orbitlens.session import materialize
 
@@ -54,19 +63,22 @@ def predict_events(df: DataFrame, ts: str, key: list[str], label: str, **options
     return spread_hits(df, ts, key, label, "prediction_point", "prediction_event", **options)
 
 
-def first_threshold_above(score: Column, low: float, high: float, n: int) -> Column:
-    """Index of the first threshold strictly above the score, ``n`` when there is none.
+def with_threshold_rank(df: DataFrame, smoothed: str, low: float, high: float, n: int, out: str = "j") -> DataFrame:
+    """Add the index of the first threshold strictly above the score, ``n`` when there is none.
 
-    An arithmetic guess, corrected against the very threshold values of the grid.
+    An arithmetic guess, corrected against the very threshold values of the grid. Score and
+    guess are columns of their own so that each is worked out once per row.
     """
     step = (float(high) - float(low)) / (n - 1) if n > 1 else 1.0
-    guess = F.least(F.greatest(F.floor((score - low) / (step or 1.0)), F.lit(-1)), F.lit(n)).cast("int")
+    guess = F.floor((F.col("__score") - low) / (step or 1.0))
+    staged = df.withColumn("__score", _score(smoothed)).withColumn(
+        "__guess", F.least(F.greatest(guess, F.lit(-2)), F.lit(n)).cast("int")
+    )
     found = F.lit(n)
     for offset in (2, 1, 0, -1):
-        j = guess + offset
-        hit = j.between(0, n - 1) & (threshold_value(j, low, high, n) > score)
-        found = F.when(hit, j).otherwise(found)
-    return F.when(score.isNull(), F.lit(n)).otherwise(found)
+        j = F.col("__guess") + offset
+        found = F.when(j.between(0, n - 1) & (threshold_value(j, low, high, n) > F.col("__score")), j).otherwise(found)
+    return staged.withColumn(out, found).drop("__score", "__guess")
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -77,7 +89,16 @@ def f1(precision: Column, recall: Column) -> Column:
     return _ratio(2 * precision * recall, precision + recall)
 
 
-def threshold_sweep(
+@dataclass(frozen=True)
+class Sweep:
+    """What one pass leaves behind: metrics per threshold, and the events to predict from."""
+
+    metrics: DataFrame
+    stamps: DataFrame
+    ranks: DataFrame
+
+
+def sweep_events(
     df: DataFrame,
     ts: str,
     key: list[str],
@@ -87,28 +108,17 @@ def threshold_sweep(
     n: int,
     smoothed: str = SMOOTHED,
     **options,
-) -> DataFrame:
-    """Point precision, event recall and composite F1 at each of ``n`` ascending thresholds.
-
-    A row is predicted from the first threshold above its score on, an event from the
-    smallest such index among its rows on. Counting rows by that index and summing up over
-    the grid replaces one evaluation of the whole frame per threshold. ``df`` is read twice.
-    """
+) -> Sweep:
+    """:func:`threshold_sweep` together with the events behind it."""
     positive = F.coalesce(F.col(label) == 1, F.lit(False)).cast("bigint")
-    rank = first_threshold_above(_score(smoothed), low, high, n)
-    slim = df.select(ts, *key, label, rank.alias("j"))
+    slim = with_threshold_rank(df.select(ts, *key, label, smoothed), smoothed, low, high, n).drop(smoothed)
     zero = F.lit(0).cast("bigint")
 
     points = slim.groupBy("j").agg(F.count("*").alias("predicted"), F.sum(positive).alias("hits"))
     stamps = event_stamps(slim, ts, key, label, F.when(F.col("j") < n, F.col("j")), **options)
-    alone = F.col("prev_event").isNull() & F.col("next_event").isNull()
-    # one row per event (or pair of touching events), plus one per rank outside any
-    events = materialize(
-        stamps.groupBy("prev_event", "next_event", F.when(alone, F.col("own")).alias("lone"))
-        .agg(F.sum("positives").alias("positives"), F.min("own").alias("own")),
-        "events",
-    )
-    found = with_event_rank(events.filter("positives > 0"), event_ranks(events)).filter("best is not null")
+    events = materialize(event_totals(stamps), "events")
+    ranks = event_ranks(events)
+    found = with_event_rank(events.filter("positives > 0"), ranks).filter("best is not null")
 
     tallies = (
         threshold_grid(df.sparkSession, low, high, n)
@@ -128,11 +138,25 @@ def threshold_sweep(
         F.sum("hits").over(everything).alias("positives"),
     ).filter(F.col("j") < n)
     precision, recall = _ratio(F.col("hits"), F.col("predicted")), _ratio(F.col("found"), F.col("positives"))
-    return running.select(
+    metrics = running.select(
         threshold_value(F.col("j"), low, high, n).alias("threshold"),
         precision.alias("point_precision"),
         recall.alias("event_recall"),
     ).withColumn("composite_f1", f1(F.col("point_precision"), F.col("event_recall")))
+    return Sweep(metrics, stamps, ranks)
+
+
+def threshold_sweep(
+    df: DataFrame, ts: str, key: list[str], label: str, low: float, high: float, n: int, smoothed: str = SMOOTHED,
+    **options,
+) -> DataFrame:
+    """Point precision, event recall and composite F1 at each of ``n`` ascending thresholds.
+
+    A row is predicted from the first threshold above its score on, an event from the
+    smallest such index among its rows on. Counting rows by that index and summing up over
+    the grid replaces one evaluation of the whole frame per threshold. ``df`` is read twice.
+    """
+    return sweep_events(df, ts, key, label, low, high, n, smoothed, **options).metrics
 
 
 def best_threshold(sweep: DataFrame) -> DataFrame:
@@ -170,8 +194,11 @@ def evaluate(
     if predict_at not in ("last", "best"):
         raise ValueError("predict_at is 'last' or 'best'")
     stored = materialize(results, "results")
-    metrics = best_threshold(threshold_sweep(stored, ts, key, label, low, high, n, **options))
-    at = float(high) if n > 1 else float(low)
+    sweep = sweep_events(stored, ts, key, label, low, high, n, **options)
+    metrics = best_threshold(sweep.metrics)
+    at, upto = (float(high) if n > 1 else float(low)), n - 1
     if predict_at == "best":
         at = metrics.first()["best_threshold"]
-    return predict_events(predict_points(stored, at), ts, key, label, **options), metrics
+        upto = threshold_grid(results.sparkSession, low, high, n).filter(F.col("threshold") == at).first()["j"]
+    points = predict_points(stored, at)
+    return mark_reached(points, ts, sweep.stamps, sweep.ranks, upto, "prediction_point", "prediction_event"), metrics

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from datetime import timedelta
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from orbitlens.functions.scalars import micros, plus, to_micros
 from orbitlens.operators.ordered import order_frame, scan
-from orbitlens.session import bounded_rows, materialize
+from orbitlens.session import materialize
 
-# Up to this many disjoint periods are broadcast as a cell table (at most five times as
-# many entries); beyond it rows and periods go through one ordered scan.
-MAX_BROADCAST_PERIODS = 20_000
+# Up to this many periods are broadcast as a cell table (at most five times as many
+# entries); beyond it rows and periods go through one ordered scan.
+MAX_BROADCAST_PERIODS = 100_000
 MAX_PERIODS_PER_CELL = 64
 
 
@@ -57,16 +59,38 @@ def windows_around(rows: DataFrame, ts: str, width: timedelta, **options) -> Dat
     return merged.select(plus("start", -width).alias("start"), plus("end", width).alias("end"))
 
 
-def _cell_table(periods: list[tuple[int, int]]) -> tuple[list[tuple[int, int, int]], int, int] | None:
-    """Entries ``(cell, start, end)`` of equally wide cells, with their origin and width."""
-    origin = min(s for s, _ in periods)
-    span = max(e for _, e in periods) - origin
-    width = max(1, span // (4 * len(periods)) + 1)
-    entries = [(cell, s, e) for s, e in periods for cell in range((s - origin) // width, (e - origin) // width + 1)]
-    counts: dict[int, int] = {}
-    for cell, _, _ in entries:
-        counts[cell] = counts.get(cell, 0) + 1
-    return (entries, origin, width) if max(counts.values()) <= MAX_PERIODS_PER_CELL else None
+def _few_periods(periods: DataFrame, start: str = "start", end: str = "end") -> np.ndarray | None:
+    """Start and end in microseconds as two local rows, or None beyond the broadcast bound."""
+    rows = periods.select(micros(start).alias("s"), micros(end).alias("e")).limit(MAX_BROADCAST_PERIODS + 1).toArrow()
+    if rows.num_rows > MAX_BROADCAST_PERIODS:
+        return None
+    return np.stack([c.to_numpy() for c in rows.drop_null().columns]).astype(np.int64)
+
+
+def _merge_few(periods: np.ndarray, gap: int = 0, closed: bool = False) -> np.ndarray:
+    """:func:`merge_periods` for a bounded local table."""
+    start, end = periods[:, periods[0] <= periods[1] if closed else periods[0] < periods[1]]
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(end[order])
+    opens = np.flatnonzero(np.r_[True, start[1:] > reach[:-1] + gap]) if len(start) else np.empty(0, int)
+    return np.stack([start[opens], reach[np.r_[opens[1:] - 1, len(start) - 1]] if len(opens) else reach])
+
+
+def _cell_table(periods: np.ndarray) -> tuple[pa.Table, int, int] | None:
+    """Disjoint periods cut at equally wide cells, with the cells' origin and width.
+
+    None when one cell would hold so many periods that looking it up row by row is dear.
+    """
+    start, end = periods
+    origin = int(start.min())
+    width = max(1, (int(end.max()) - origin) // (4 * len(start)) + 1)
+    first, last = (start - origin) // width, (end - origin) // width
+    times = last - first + 1
+    which = np.repeat(np.arange(len(start)), times)
+    cell = first[which] + np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
+    if np.unique(cell, return_counts=True)[1].max() > MAX_PERIODS_PER_CELL:
+        return None
+    return pa.table({"__cell": cell, "__start": start[which], "__end": end[which]}), origin, width
 
 
 def mark_inside(
@@ -89,23 +113,30 @@ def mark_inside(
     """
     if method not in ("auto", "cells", "scan"):
         raise ValueError(f"unknown method {method!r}")
-    if method == "scan":
-        return _mark_by_scan(df, ts, periods, out, closed, key, **options)
-    merged = periods if disjoint else merge_periods(periods, closed=closed, **options)
-    rows = bounded_rows(
-        merged.select(micros("start").alias("start"), micros("end").alias("end")), MAX_BROADCAST_PERIODS
-    )
-    if rows == []:
-        return df.withColumn(out, F.lit(0))
-    table = _cell_table([(r["start"], r["end"]) for r in rows]) if rows else None
-    if table is None:
+    if method != "scan":
+        few = _few_periods(periods)
+        if few is None and not disjoint:
+            periods = materialize(merge_periods(periods, closed=closed, **options), "periods")
+            few = _few_periods(periods)
+        marked = None if few is None else _mark_by_cells(df, ts, _merge_few(few, closed=closed), out, closed)
+        if marked is not None:
+            return marked
         if method == "cells":
             raise ValueError("too many or too dense periods to broadcast")
-        return _mark_by_scan(df, ts, merged, out, closed, key, **options)
+    return _mark_by_scan(df, ts, periods, out, closed, key, **options)
+
+
+def _mark_by_cells(df: DataFrame, ts: str, periods: np.ndarray, out: str, closed: bool) -> DataFrame | None:
+    if periods.shape[1] == 0:
+        return df.withColumn(out, F.lit(0))
+    table = _cell_table(periods)
+    if table is None:
+        return None
     entries, origin, width = table
-    cells = df.sparkSession.createDataFrame(entries, "__cell bigint, __start bigint, __end bigint")
+    cells = df.sparkSession.createDataFrame(entries)
     probe = df.withColumn("__us", micros(ts)).withColumn("__at", F.expr(f"(__us - {origin}L) div {width}L"))
     within = F.col("__us") <= F.col("__end") if closed else F.col("__us") < F.col("__end")
+    # the table has at most five entries per period; disjoint periods give at most one match
     joined = probe.join(
         F.broadcast(cells),
         (F.col("__at") == F.col("__cell")) & (F.col("__us") >= F.col("__start")) & within,
@@ -144,7 +175,15 @@ def mark_near(
     df: DataFrame, ts: str, positive: Column, width: timedelta, out: str = "is_test", **options
 ) -> DataFrame:
     """1 for rows at most ``width`` away from a row where ``positive`` holds (both ends in)."""
-    windows = windows_around(df.filter(positive), ts, width)
+    hits = df.filter(positive)
+    few = _few_periods(hits, ts, ts)
+    if few is not None:
+        reach = to_micros(width)
+        windows = _merge_few(few, gap=2 * reach, closed=True) + np.array([[-reach], [reach]])
+        marked = _mark_by_cells(df, ts, windows, out, closed=True)
+        if marked is not None:
+            return marked
+    windows = materialize(windows_around(hits, ts, width, **options), "windows")
     return mark_inside(df, ts, windows, out, closed=True, disjoint=True, **options)
 
 
@@ -189,7 +228,9 @@ def event_stamps(df: DataFrame, ts: str, key: list[str], label: str, rank: Colum
     adds nothing beyond ``own`` and gets no number.
     """
     on = F.coalesce(F.col(label) == 1, F.lit(False))
-    slim = df.select(F.col(ts).alias("ts"), F.struct(*key).alias("place"), on.alias("on"), rank.alias("rank"))
+    # a single key column keeps the aggregate hash-based; a struct of keys has it sorted
+    place = F.col(key[0]) if len(key) == 1 else F.struct(*key)
+    slim = df.select(F.col(ts).alias("ts"), place.alias("place"), on.alias("on"), rank.alias("rank"))
     stamps = slim.groupBy("ts").agg(
         F.min("rank").alias("own"),
         F.sum(F.col("on").cast("bigint")).alias("positives"),
@@ -242,11 +283,26 @@ def with_event_rank(stamps: DataFrame, ranks: DataFrame) -> DataFrame:
     return joined.withColumn("best", F.least("own", "__prev", "__next")).drop("__prev", "__next")
 
 
-def spread_hits(df: DataFrame, ts: str, key: list[str], label: str, hit: str, out: str, **options) -> DataFrame:
-    """Mark every row of an event once any of its rows is hit; other rows keep their own hit."""
-    stamps = event_stamps(df, ts, key, label, F.when(F.col(hit) == 1, 1), **options)
-    stamps = materialize(stamps, "events")
-    reached = with_event_rank(stamps, event_ranks(stamps)).filter("covered and best is not null")
+def event_totals(stamps: DataFrame) -> DataFrame:
+    """Stamps reduced to one row per event (or pair of touching events).
+
+    Timestamps outside any numbered event are kept apart by their own rank (``lone``).
+    """
+    alone = F.col("prev_event").isNull() & F.col("next_event").isNull()
+    return stamps.groupBy("prev_event", "next_event", F.when(alone, F.col("own")).alias("lone")).agg(
+        F.sum("positives").alias("positives"), F.min("own").alias("own")
+    )
+
+
+def mark_reached(df: DataFrame, ts: str, stamps: DataFrame, ranks: DataFrame, upto: int, hit: str, out: str):
+    """Spread ``hit`` over every event whose smallest rank is at most ``upto``."""
+    reached = with_event_rank(stamps, ranks).filter(F.col("covered") & (F.col("best") <= upto))
     joined = df.join(reached.select(F.col("ts").alias(ts), F.lit(1).alias("__reached")), ts, "left")
     flag = F.greatest(F.coalesce(F.col("__reached"), F.lit(0)), F.col(hit)).cast("int")
     return joined.select(*[F.col(c) for c in df.columns if c != out], flag.alias(out))
+
+
+def spread_hits(df: DataFrame, ts: str, key: list[str], label: str, hit: str, out: str, **options) -> DataFrame:
+    """Mark every row of an event once any of its rows is hit; other rows keep their own hit."""
+    stamps = event_stamps(df, ts, key, label, F.when(F.col(hit) == 1, 0), **options)
+    return mark_reached(df, ts, stamps, event_ranks(stamps), 0, hit, out)

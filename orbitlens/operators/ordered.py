@@ -232,7 +232,8 @@ def _halo_rows(frame: OrderedFrame, size: int, columns: list[str]) -> DataFrame:
             if starts[later] > last + size - 1:
                 break
             reach.append((bucket, last, counts[later][0], starts[later]))
-    targets = spark.createDataFrame(reach, f"{BUCKET} int, last bigint, target int, target_start bigint")
+    names = [BUCKET, "last", "target", "target_start"]
+    targets = spark.createDataFrame(pa.table({n: pa.array([r[i] for r in reach], pa.int64()) for i, n in enumerate(names)}))
     tail = (
         frame.df.select(*columns, BUCKET, F.row_number().over(frame.descending()).alias("__from_end"))
         .filter(F.col("__from_end") <= size)
@@ -241,7 +242,7 @@ def _halo_rows(frame: OrderedFrame, size: int, columns: list[str]) -> DataFrame:
     return (
         tail.join(F.broadcast(targets), BUCKET)
         .filter(F.col("target_start") <= number + size - 1)
-        .select(*columns, F.col("target").alias(BUCKET))
+        .select(*columns, F.col("target").cast("int").alias(BUCKET))
     )
 
 

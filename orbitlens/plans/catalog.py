@@ -24,7 +24,7 @@ from orbitlens.operators import model as md
 from orbitlens.operators import ordered, plots, registry, sampling, scaling, training
 from orbitlens.plans.pipeline import run_pipeline
 from orbitlens.plans.preprocess import preprocess
-from orbitlens.session import scratch_path, ship_package
+from orbitlens.session import materialize, scratch_path, ship_package
 from orbitlens.sources import readers, writers
 from orbitlens.streaming import scoring
 
@@ -82,7 +82,8 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled rows with a smoothed closed-form score of value / 100."""
     nll = -lk.log_density(F.col("value") / 100, F.lit(0.5), F.lit(1.0))
     rows = labelled(spark, sf_dir).withColumn(ev.NLL, nll).withColumn("dataset", F.lit("test"))
-    return ev.rolling_median(rows, ev.NLL, ["ts", *KEY], ev.SMOOTHING_ROWS, out=ev.SMOOTHED)
+    smoothed = ev.rolling_median(rows, ev.NLL, ["ts", *KEY], ev.SMOOTHING_ROWS, out=ev.SMOOTHED)
+    return materialize(smoothed, "scored")
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -495,7 +496,7 @@ def runs_table(spark, sf_dir) -> DataFrame:
         F.col("o_orderpriority").alias("run_name"),
         F.col("o_orderdate").alias("start_time"),
         F.col("o_orderkey").alias("number"),
-        F.round(F.col("o_totalprice") / 600000, 6).alias("composite_f1"),
+        (F.col("o_totalprice") / 600000).alias("composite_f1"),
     )
 
 

@@ -131,7 +131,7 @@ HISTORY = """
 
 RUNS = """
   runs AS (SELECT o_orderkey::VARCHAR AS run_id, o_orderpriority AS run_name, o_orderdate AS start_time,
-             o_orderkey AS number, round(o_totalprice / 600000, 6) AS composite_f1 FROM orders)"""
+             o_orderkey AS number, o_totalprice / 600000 AS composite_f1 FROM orders)"""
 
 LINE_FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 

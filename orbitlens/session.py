@@ -61,12 +61,6 @@ def materialize(df: DataFrame, name: str = "frame") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> list | None:
-    """The rows as a local list if there are at most ``max_rows`` of them, else ``None``."""
-    rows = df.limit(max_rows + 1).collect()
-    return rows if len(rows) <= max_rows else None
-
-
 _shipped: set[str] = set()
 
 
