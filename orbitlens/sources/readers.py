@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,8 +16,6 @@ REQUEST_SCHEMA = "instances array<map<string,double>>"
 
 def uri(path: str, scheme: str = "s3a://") -> str:
     """The object-store prefixes of a path argument as one URI scheme."""
-    import re
-
     return re.sub(OBJECT_STORE_PREFIX, scheme, path)
 
 
@@ -33,12 +33,15 @@ def read_archives(spark: SparkSession, directory: str) -> tuple[DataFrame, DataF
     """All archive files below a directory with ``year`` and position in the file.
 
     Returns the rows whose path names a year, and the paths of the files that name none.
-    The year is looked for in the path below the directory's own, file name included.
+    The year is looked for below the directory: in folder and file names, but not in the
+    ``part-`` names Spark gives to the files of one archive.
     """
     rows = spark.read.option("recursiveFileLookup", "true").parquet(uri(directory))
     located = rows.select(
         "*", F.col("_metadata.file_path").alias("archive"), F.col("_metadata.row_index").alias("row_index")
-    ).withColumn("year", path_year("archive"))
+    )
+    below = F.element_at(F.split("archive", re.escape(uri(directory).rstrip("/")) + "/"), -1)
+    located = located.withColumn("year", path_year(F.regexp_replace(below, "(^|/)part-[^/]*$", "")))
     return (
         located.filter(F.col("year").isNotNull()),
         located.filter(F.col("year").isNull()).select("archive").distinct(),

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orbitlens.functions.likelihood import array_sum, log_density
 from orbitlens.operators.intervals import mark_inside
-from orbitlens.operators.model import Weights, nll_column
+from orbitlens.operators.model import Weights, infer_rows, nll_column
 from orbitlens.operators.scaling import feature_vector
 from orbitlens.sources.readers import REQUEST_SCHEMA
 
@@ -60,13 +64,6 @@ def score_requests(requests: DataFrame, features: list[str], scaler: dict[str, t
 
 
 def _score_lists(spark: SparkSession, weights: Weights):
-    from collections.abc import Iterator
-
-    import numpy as np
-    import pandas as pd
-
-    from orbitlens.operators.model import infer_rows
-
     shared = spark.sparkContext.broadcast(weights)
 
     @F.pandas_udf("array<double>")
