@@ -29,7 +29,7 @@ HEADLINE = [
     "select_float_features", "preprocess_telemetry", "archive_chunks", "label_intervals", "label_intervals_bucketed",
     "test_window_mask", "train_val_test_split", "fit_standard_scaler", "scale_frames", "rolling_median_global",
     "rolling_median_user", "anomaly_intervals", "threshold_sweep", "tied_threshold_sweep", "batch_infer",
-    "score_requests", "train_vae", "early_stop", "anomaly_pipeline",
+    "score_requests", "train_vae", "early_stop", "anomaly_detection",
 ]
 
 

@@ -14,9 +14,10 @@ from orbitlens.functions.scalars import micros, plus, to_micros
 from orbitlens.operators.ordered import order_frame, scan
 from orbitlens.session import materialize
 
-# Up to this many periods are broadcast as a cell table (at most five times as many
-# entries); beyond it rows and periods go through one ordered scan.
+# Up to this many periods are broadcast as a table of time cells of a bounded size; beyond
+# it rows and periods go through one ordered scan.
 MAX_BROADCAST_PERIODS = 100_000
+MAX_CELL_ENTRIES = 1_000_000
 MAX_PERIODS_PER_CELL = 64
 
 
@@ -79,18 +80,25 @@ def _merge_few(periods: np.ndarray, gap: int = 0, closed: bool = False) -> np.nd
 def _cell_table(periods: np.ndarray) -> tuple[pa.Table, int, int] | None:
     """Disjoint periods cut at equally wide cells, with the cells' origin and width.
 
-    None when one cell would hold so many periods that looking it up row by row is dear.
+    Cells get narrower until none holds many periods; None when the table would get large.
     """
     start, end = periods
     origin = int(start.min())
-    width = max(1, (int(end.max()) - origin) // (4 * len(start)) + 1)
-    first, last = (start - origin) // width, (end - origin) // width
-    times = last - first + 1
-    which = np.repeat(np.arange(len(start)), times)
-    cell = first[which] + np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
-    if np.unique(cell, return_counts=True)[1].max() > MAX_PERIODS_PER_CELL:
-        return None
-    return pa.table({"__cell": cell, "__start": start[which], "__end": end[which]}), origin, width
+    span = int(end.max()) - origin
+    cells = 4 * len(start)
+    while True:
+        width = max(1, span // cells + 1)
+        first, last = (start - origin) // width, (end - origin) // width
+        times = last - first + 1
+        if times.sum() > MAX_CELL_ENTRIES:
+            return None
+        which = np.repeat(np.arange(len(start)), times)
+        cell = first[which] + np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
+        if np.unique(cell, return_counts=True)[1].max() <= MAX_PERIODS_PER_CELL:
+            return pa.table({"__cell": cell, "__start": start[which], "__end": end[which]}), origin, width
+        if width == 1:
+            return None
+        cells *= 8
 
 
 def mark_inside(
@@ -136,7 +144,7 @@ def _mark_by_cells(df: DataFrame, ts: str, periods: np.ndarray, out: str, closed
     cells = df.sparkSession.createDataFrame(entries)
     probe = df.withColumn("__us", micros(ts)).withColumn("__at", F.expr(f"(__us - {origin}L) div {width}L"))
     within = F.col("__us") <= F.col("__end") if closed else F.col("__us") < F.col("__end")
-    # the table has at most five entries per period; disjoint periods give at most one match
+    # at most MAX_CELL_ENTRIES rows; disjoint periods give at most one match
     joined = probe.join(
         F.broadcast(cells),
         (F.col("__at") == F.col("__cell")) & (F.col("__us") >= F.col("__start")) & within,
@@ -276,11 +284,17 @@ def event_ranks(stamps: DataFrame) -> DataFrame:
 
 
 def with_event_rank(stamps: DataFrame, ranks: DataFrame) -> DataFrame:
-    """Add ``best``: the smallest rank of the events a timestamp belongs to, ``own`` included."""
-    prev = ranks.select(F.col("event").alias("prev_event"), F.col("rank").alias("__prev"))
-    following = ranks.select(F.col("event").alias("next_event"), F.col("rank").alias("__next"))
-    joined = stamps.join(prev, "prev_event", "left").join(following, "next_event", "left")
-    return joined.withColumn("best", F.least("own", "__prev", "__next")).drop("__prev", "__next")
+    """Add ``best``: the smallest rank of the events a timestamp belongs to, ``own`` included.
+
+    Most rows lack one of the two events. Their join key is a negative number that matches
+    nothing, drawn from the row, so that they do not all meet in one partition.
+    """
+    apart = -1 - F.pmod(F.xxhash64(*stamps.columns), F.lit(1 << 20))
+    keyed = stamps.withColumn("__a", F.coalesce("prev_event", apart)).withColumn("__b", F.coalesce("next_event", apart))
+    prev = ranks.select(F.col("event").alias("__a"), F.col("rank").alias("__prev"))
+    following = ranks.select(F.col("event").alias("__b"), F.col("rank").alias("__next"))
+    joined = keyed.join(prev, "__a", "left").join(following, "__b", "left")
+    return joined.select(*stamps.columns, F.least("own", "__prev", "__next").alias("best"))
 
 
 def event_totals(stamps: DataFrame) -> DataFrame:

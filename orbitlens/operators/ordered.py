@@ -31,8 +31,8 @@ BUCKET = "__bucket"
 HALO = "__halo"
 
 ROWS_PER_BUCKET = 250_000
-MAX_BUCKETS = 2048
-SAMPLES_PER_BUCKET = 40
+MAX_BUCKETS = 4096
+SAMPLES_PER_BUCKET = 20
 _TREE_LIMIT = 32
 
 
@@ -107,7 +107,7 @@ def order_frame(
 ) -> OrderedFrame:
     """Give each row the number of its bucket in the global order.
 
-    Runs a count and, beyond one bucket, a sample of about 40 order keys per bucket. The
+    Runs a count and, beyond one bucket, a sample of about 20 order keys per bucket. The
     bounds only steer balance: any bounds give the same results.
     """
     order = tuple(order)
@@ -134,11 +134,11 @@ def order_frame(
 def scan(frame: OrderedFrame, **wanted: tuple[str, Column]) -> DataFrame:
     """Running values over the global order, one output column per keyword.
 
-    Kinds: ``max`` (running, with the row), ``max_before`` (without the row), ``min_after``
-    (smallest from the row to the end), ``sum`` (running, with the row), ``lag``, ``lead``.
+    Kinds: ``max`` (running, with the row), ``max_before`` (without the row), ``sum``
+    (running, with the row), ``lag``, ``lead``.
     """
     first, here, prior = Window.unboundedPreceding, Window.currentRow, -1
-    up, down = frame.ascending(), frame.descending()
+    up = frame.ascending()
     over_buckets = Window.orderBy(BUCKET)
     place = F.struct(*frame.order)
 
@@ -151,10 +151,6 @@ def scan(frame: OrderedFrame, **wanted: tuple[str, Column]) -> DataFrame:
             local[name] = F.max(col).over(up.rowsBetween(first, here if kind == "max" else prior))
             part[name] = F.max(col)
             carried[name] = F.max(at).over(over_buckets.rowsBetween(first, prior))
-        elif kind == "min_after":
-            local[name] = F.min(col).over(down.rowsBetween(first, here))
-            part[name] = F.min(col)
-            carried[name] = F.min(at).over(over_buckets.rowsBetween(1, Window.unboundedFollowing))
         elif kind == "sum":
             local[name] = F.coalesce(F.sum(col).over(up.rowsBetween(first, here)), F.lit(0))
             part[name] = F.sum(col)
@@ -184,8 +180,6 @@ def scan(frame: OrderedFrame, **wanted: tuple[str, Column]) -> DataFrame:
             extra = F.col(f"__carry_{name}")
             if kind in ("max", "max_before"):
                 value = F.greatest(value, extra)
-            elif kind == "min_after":
-                value = F.least(value, extra)
             elif kind == "sum":
                 value = value + F.coalesce(extra, F.lit(0))
             else:
@@ -203,11 +197,44 @@ def with_row_number(df: DataFrame, order: list[str], name: str = "row_number", *
 
 
 def number_within(df: DataFrame, by: list[str], order: list[str], name: str, **options) -> DataFrame:
-    """Row number within each ``by`` group, 1-based; a large group may span several buckets."""
-    numbered = with_row_number(df, [*by, *order], "__row", **options)
-    first = numbered.groupBy(*by).agg(F.min("__row").alias("__first"))
-    joined = numbered.join(first, by)
-    return joined.select(*df.columns, (F.col("__row") - F.col("__first") + 1).alias(name))
+    """Row number within each ``by`` group, 1-based; a large group may span several buckets.
+
+    Rows are numbered per bucket and group. Only the first group of a bucket can have rows
+    in earlier buckets; how many is chained up over the buckets' first and last groups.
+    """
+    frame = order_frame(df, [*by, *order], **options)
+    window = Window.partitionBy(BUCKET, *by).orderBy(*order)
+    numbered = frame.df.withColumn(name, F.row_number().over(window).cast("bigint"))
+    if frame.n_buckets == 1:
+        return numbered.drop(BUCKET)
+    group = F.struct(*by)
+    edges = (
+        frame.df.groupBy(BUCKET, *by)
+        .agg(F.count("*").alias("n"))
+        .groupBy(BUCKET)
+        .agg(F.min(group).alias("first"), F.max(group).alias("last"), F.max_by("n", group).alias("n_last"))
+        .orderBy(BUCKET)
+        .collect()
+    )
+    offsets, open_group, so_far = [], None, 0
+    for e in edges:
+        before = so_far if e["first"] == open_group else 0
+        if before:
+            offsets.append((e[BUCKET], *e["first"], before))
+        so_far = e["n_last"] + (before if e["first"] == e["last"] else 0)
+        open_group = e["last"]
+    schema = T.StructType([
+        T.StructField(BUCKET, T.IntegerType()),
+        *[T.StructField(f"__{c}", df.schema[c].dataType) for c in by],
+        T.StructField("__offset", T.LongType()),
+    ])
+    spill = df.sparkSession.createDataFrame(offsets, schema).withColumnRenamed(BUCKET, "__b")
+    same = F.col(BUCKET) == F.col("__b")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    # at most one row per bucket
+    joined = numbered.join(F.broadcast(spill), same, "left")
+    return joined.select(*df.columns, (F.col(name) + F.coalesce("__offset", F.lit(0))).alias(name))
 
 
 def batch_numbers(df: DataFrame, order: list[str], batch_size: int, name: str = "batch", **options) -> DataFrame:

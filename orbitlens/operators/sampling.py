@@ -27,22 +27,33 @@ def sample_rows(df: DataFrame, keys: list[str], fraction: float, seed: int = 42)
 def _exact_cut(df: DataFrame, keys: list[str], fraction: float, seed: int) -> Column:
     """True for exactly ``round(fraction * n)`` rows (halves to even), smallest draws first.
 
-    A histogram of the draws finds the bin the last wanted row falls in; only that bin is
-    ranked, and the key of its last wanted row turns the cut into a row-wise predicate.
+    Two histograms, over the upper and then the lower half of the draw, find the draw of the
+    last wanted row. Only the rows sharing that very draw are ranked, by key, and the cut
+    becomes a row-wise predicate.
     """
     draw = hash_draw(keys, seed)
-    width = HASH_RANGE // _CUT_BINS
-    bins = df.groupBy(F.floor(draw / width).alias("bin")).count().orderBy("bin").collect()
+    upper, lower = F.floor(draw / _CUT_BINS), draw % _CUT_BINS
+
+    def histogram(rows: DataFrame, part: Column) -> list:
+        return rows.groupBy(part.alias("bin")).count().orderBy("bin").collect()
+
+    def bin_of(bins: list, wanted: int) -> tuple[int, int]:
+        """The bin the ``wanted``-th row falls in, and its rank there."""
+        for r in bins:
+            if wanted <= r["count"]:
+                return r["bin"], wanted
+            wanted -= r["count"]
+        raise ValueError("rank beyond the last row")
+
+    bins = histogram(df, upper)
     wanted = round(fraction * sum(r["count"] for r in bins))
     if wanted == 0:
         return F.lit(False)
-    for r in bins:
-        if wanted <= r["count"]:
-            break
-        wanted -= r["count"]
-    inside = df.filter(F.floor(draw / width) == r["bin"]).select(draw.alias("__draw"), *keys)
-    last = inside.orderBy("__draw", *keys).offset(wanted - 1).first()
-    bound = F.struct(*[F.lit(last[c]).cast(inside.schema[c].dataType).alias(c) for c in ["__draw", *keys]])
+    high, wanted = bin_of(bins, wanted)
+    low, wanted = bin_of(histogram(df.filter(upper == high), lower), wanted)
+    ties = df.filter(draw == high * _CUT_BINS + low).select(draw.alias("__draw"), *keys)
+    last = ties.orderBy(*keys).offset(wanted - 1).first()
+    bound = F.struct(*[F.lit(last[c]).cast(ties.schema[c].dataType).alias(c) for c in ["__draw", *keys]])
     return F.struct(draw.alias("__draw"), *keys) <= bound
 
 

@@ -47,7 +47,7 @@ def fit_scaler(df: DataFrame, features: list[str], kind: str = STANDARD) -> Data
     variance is within rounding noise of its mean.
     """
     if kind not in (STANDARD, MINMAX):
-        raise ValueError(f"invalid scaler type {kind!r}: choose 'minmax' or 'standard'")
+        raise ValueError(f"unknown scaler {kind!r}, expected one of: {STANDARD}, {MINMAX}")
     first, second = (F.avg, F.var_pop) if kind == STANDARD else (F.min, F.max)
     values = df.select(F.posexplode(F.array(*[_number(c) for c in features])).alias("i", "v"))
     flat = values.groupBy("i").agg(first("v").alias("a"), second("v").alias("b"), F.count("v").alias("n"))

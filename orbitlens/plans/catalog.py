@@ -121,7 +121,7 @@ def preprocess_telemetry(spark, sf_dir):
 def archive_chunks(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select(*LINE_KEY, "l_shipdate", F.year("l_shipdate").alias("year"))
     placed = ordered.number_within(rows, ["year"], LINE_KEY, "n").withColumn("row_index", F.col("n") - 1)
-    chunks = writers.chunk_rows(placed, rows_per_group=500, groups_per_chunk=4, group_limit=14)
+    chunks = writers.chunk_rows(placed, rows_per_group=500, groups_per_chunk=4)
     return writers.list_chunks(chunks, "l_shipdate", 500)
 
 
@@ -541,7 +541,7 @@ def result_plot_bands(spark, sf_dir):
 
 
 @query
-def anomaly_pipeline(spark, sf_dir):
+def anomaly_detection(spark, sf_dir):
     done = run_pipeline(
         telemetry(spark, sf_dir), periods(spark, sf_dir), "ts", KEY, ["value"],
         window=WINDOW, low=PIPELINE_LOW, high=PIPELINE_HIGH, n_thresholds=STEPS,

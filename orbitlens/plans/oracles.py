@@ -163,7 +163,7 @@ ORACLES: dict[str, str] = {
     "archive_chunks": f"""
 WITH p AS (SELECT year(l_shipdate)::INT AS year, l_shipdate,
              row_number() OVER (PARTITION BY year(l_shipdate) ORDER BY {LINE_COLUMNS}) - 1 AS i FROM lineitem),
-  q AS (SELECT *, ((i // 500) - (i // 500) % 4)::INT AS chunk FROM p WHERE i < 14 * 500)
+  q AS (SELECT *, ((i // 500) - (i // 500) % 4)::INT AS chunk FROM p)
 SELECT year, chunk, min(l_shipdate) AS "start", max(l_shipdate) AS "end", count(*) AS rows,
   printf('row_groups_%05d_to_%05d.parquet', chunk, (max(i) // 500 + 1)::INT) AS file_name
 FROM q GROUP BY year, chunk""",
@@ -303,7 +303,7 @@ UNION ALL SELECT 'log_likelihood_smoothed', ts, round(-sm, 6) FROM d""",
 WITH {SPLIT}, {islands('spl', 'ts', 'event_id', "split = 'test'", 'tst')},
   {islands('spl', 'ts', 'event_id', 'label = 1', 'ano')}
 SELECT 'test' AS kind, "start", "end" FROM tst UNION ALL SELECT 'anomaly', "start", "end" FROM ano""",
-    "anomaly_pipeline": f"""
+    "anomaly_detection": f"""
 WITH {SPLIT},
   par AS (SELECT avg(value) AS c, stddev_pop(value) AS s FROM spl WHERE split = 'train'),
   raw AS (SELECT event_id, ts, CASE WHEN split = 'test' THEN label ELSE 0 END AS label,

@@ -70,7 +70,9 @@ def run_pipeline(
             vectors.filter(F.col("split") == TRAIN), vectors.filter(F.col("split") == VALIDATION),
             keys, "features", len(features), fit_settings,
         )
-        scored = infer(vectors.filter(F.col("split") != TRAIN), model.weights)
+        # inference is dear and the evaluation reads its input several times
+        scored = materialize(infer(vectors.filter(F.col("split") != TRAIN), model.weights).drop("features", "mean_x"),
+                             "scored")
         latent = latent_dim(model.weights)
     else:
         scored = closed_form_score(scaled.filter(F.col("split") != TRAIN), features)

@@ -86,7 +86,10 @@ def test_methods_agree_on_random_rows(spark, monkeypatch):
         iv.label_rows(df, "ts", per, "label", method="cells")
 
 
-def test_dense_periods_fall_back_to_scan(spark):
+@pytest.mark.parametrize("entries", [1_000_000, 300])
+def test_dense_periods(spark, monkeypatch, entries):
+    """Many periods close together and one far away: narrower cells, or the scan."""
+    monkeypatch.setattr(iv, "MAX_CELL_ENTRIES", entries)
     pairs = [(at(i * 2), at(i * 2 + 1)) for i in range(200)] + [(at(10**7), at(10**7 + 5))]
     per = periods(spark, pairs)
     df = frame(spark, [at(i) for i in range(400)])
