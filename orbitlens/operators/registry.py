@@ -21,6 +21,7 @@ def run_record(spark: SparkSession, run_id: str, run_name: str, hyperparameters:
 
 
 def append_run(record: DataFrame, path: str) -> None:
+    """Add one row to the registry table."""
     record.coalesce(1).write.mode("append").parquet(path)
 
 

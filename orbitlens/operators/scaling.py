@@ -25,6 +25,11 @@ def feature_vector(features: list[str], kind: str = "float") -> Column:
     return F.array(*[F.col(c).cast(kind) for c in features])
 
 
+def first_features(vector: Column | str, n: int) -> Column:
+    """The first ``n`` elements of a feature vector."""
+    return F.slice(vector, 1, n)
+
+
 def valid_width(vector: Column | str, n: int) -> Column:
     """True for vectors of ``n`` elements without a missing one."""
     v = F.col(vector) if isinstance(vector, str) else vector

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from orbitlens.functions.likelihood import LIKELIHOOD_WEIGHT, LOG_SQRT_2PI, SCALE_FLOOR
 from orbitlens.functions.scalars import iso_millis
 from orbitlens.operators.model import Weights, dense_pass, init_weights, matrix
-from orbitlens.operators.registry import best_epoch, best_trial, stop_epoch
 
 # The optimizer's usual constants.
 ADAM_BETA1, ADAM_BETA2, ADAM_EPS = 0.9, 0.999, 1e-8
@@ -299,6 +298,3 @@ def random_search(train: DataFrame, validation: DataFrame, key: list[str], featu
         [o for o in outcomes if not isinstance(o, Exception)],
         "trial int, lr double, batch_size double, beta double, epoch int, train_loss double, val_loss double",
     )
-
-
-__all__ = ["FitResult", "FitSettings", "best_epoch", "best_trial", "fit", "random_search", "stop_epoch"]

@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, replace
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orbitlens.functions.likelihood import log_density
 from orbitlens.operators.evaluation import NLL, evaluate, result_frame
 from orbitlens.operators.intervals import label_rows
-from orbitlens.operators.model import infer, latent_dim
-from orbitlens.operators.registry import promoted
-from orbitlens.operators.sampling import TEST, TRAIN, VALIDATION, split_rows
+from orbitlens.operators.model import Weights, infer, input_dim, latent_dim, weight_table, weights_from
+from orbitlens.operators.registry import append_run, best_trial, promoted, require_run, run_record, weights_of
+from orbitlens.operators.sampling import TEST, TRAIN, VALIDATION, draw_trials, split_rows
 from orbitlens.operators.scaling import STANDARD, feature_vector, fit_scaler, scale_columns, scaler_values
-from orbitlens.operators.training import FitResult, FitSettings, fit
+from orbitlens.operators.training import FitResult, FitSettings, fit, random_search
 from orbitlens.session import materialize
+from orbitlens.sources.writers import write_weights
 
 
 @dataclass
@@ -27,6 +29,24 @@ class PipelineResult:
     metrics: DataFrame
     promoted: DataFrame
     model: FitResult | None = None
+    trials: DataFrame | None = None
+
+
+def register_fit(spark: SparkSession, model: FitResult, run_name: str, registry: str, weights: str) -> str:
+    """Store the weights and add the run to the registry; returns the run id."""
+    run_id = uuid.uuid4().hex
+    s = model.settings
+    write_weights(weight_table(spark, model.weights), run_id, weights)
+    shape = {"input_dim": input_dim(model.weights), "latent_dim": latent_dim(model.weights)}
+    tuned = {"batch_size": s.batch_size, "learning_rate": s.lr, "beta": s.beta}
+    append_run(run_record(spark, run_id, run_name, {**tuned, **shape}), registry)
+    return run_id
+
+
+def load_model(spark: SparkSession, run_name: str, registry: str, weights: str) -> Weights:
+    """The weights of the latest run of that name."""
+    run = require_run(spark.read.parquet(registry), run_name)
+    return weights_from(weights_of(spark.read.parquet(weights), run))
 
 
 def closed_form_score(df: DataFrame, features: list[str]) -> DataFrame:
@@ -50,12 +70,17 @@ def run_pipeline(
     n_thresholds: int = 100,
     promote_above: float = 0.7,
     fit_settings: FitSettings | None = None,
+    choices: dict[str, list[float]] | None = None,
+    max_trials: int = 5,
+    search_settings: FitSettings | None = None,
     **options,
 ) -> PipelineResult:
     """All steps on one frame with a ``split`` column.
 
     The split frame is written once, since the scaler, the fit and the scoring read it. With
     ``fit_settings`` the likelihood model is trained and scores; otherwise the closed form.
+    With ``choices`` (lists for ``lr``, ``batch_size`` and ``beta``) a random search picks
+    these three first, on ``search_settings`` where given.
     """
     slim = telemetry.select(ts, *keys, *features)
     labelled = label_rows(slim, ts, periods, label, key=keys, **options)
@@ -63,13 +88,20 @@ def run_pipeline(
     params = fit_scaler(split.filter(F.col("split") == TRAIN), features, scaler)
     fitted = scaler_values(params)
     scaled = scale_columns(split, fitted)
-    model, latent = None, 0
+    model, trials, latent = None, None, 0
     if fit_settings:
         vectors = scaled.select(ts, *keys, label, "split", feature_vector(features).alias("features"))
-        model = fit(
-            vectors.filter(F.col("split") == TRAIN), vectors.filter(F.col("split") == VALIDATION),
-            keys, "features", len(features), fit_settings,
-        )
+        train, validation = (vectors.filter(F.col("split") == part) for part in (TRAIN, VALIDATION))
+        if choices:
+            drawn = draw_trials(split.sparkSession, choices, max_trials, fit_settings.seed)
+            trials = random_search(
+                train, validation, keys, "features", len(features), drawn, search_settings or fit_settings
+            )
+            best = best_trial(trials, ["lr", "batch_size", "beta"]).first()
+            fit_settings = replace(
+                fit_settings, lr=best["lr"], batch_size=int(best["batch_size"]), beta=best["beta"]
+            )
+        model = fit(train, validation, keys, "features", len(features), fit_settings)
         # inference is dear and the evaluation reads its input several times
         scored = materialize(infer(vectors.filter(F.col("split") != TRAIN), model.weights).drop("features", "mean_x"),
                              "scored")
@@ -81,4 +113,4 @@ def run_pipeline(
         **options,
     )
     results, metrics = evaluate(results, ts, keys, label, low, high, n_thresholds, **options)
-    return PipelineResult(split, params, results, metrics, promoted(metrics, threshold=promote_above), model)
+    return PipelineResult(split, params, results, metrics, promoted(metrics, threshold=promote_above), model, trials)

@@ -6,7 +6,6 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from orbitlens.functions.scalars import OBJECT_STORE_PREFIX, parse_day_of_year, path_year
 from orbitlens.operators.scaling import select_features
@@ -76,13 +75,3 @@ def parse_requests(requests: DataFrame, body: str, id_column: str) -> tuple[Data
 def instance_columns(rows: DataFrame, features: list[str], *kept: str) -> DataFrame:
     """Instance maps as feature columns; missing features become NULL, unknown ones are ignored."""
     return rows.select(*kept, *[F.col("instance")[f].alias(f) for f in features])
-
-
-def telemetry_schema(features: list[str], ts: str, keys: dict[str, str] | None = None) -> T.StructType:
-    """An explicit schema for file streams and writers."""
-    schema = T.StructType([T.StructField(ts, T.TimestampType())])
-    for name, kind in (keys or {}).items():
-        schema.add(name, kind)
-    for f in features:
-        schema.add(f, T.DoubleType())
-    return schema

@@ -97,6 +97,6 @@ def responses(scored: DataFrame, id_column: str, position: str = "position", sco
     return scored.groupBy(id_column).agg(body.alias("response"))
 
 
-def instances_json(rows: DataFrame, features: list[str]) -> Column:
+def instances_json(features: list[str]) -> Column:
     """Feature columns as one JSON object per row."""
     return F.to_json(F.struct(*features))

@@ -12,7 +12,7 @@ from orbitlens.operators import plots
 from orbitlens.operators import scaling as sc
 from orbitlens.operators import training as tr
 from orbitlens.plans.catalog import fixed_weights, periods, telemetry
-from orbitlens.plans.pipeline import run_pipeline
+from orbitlens.plans.pipeline import load_model, register_fit, run_pipeline
 from orbitlens.plans.preprocess import run_preprocessing
 from orbitlens.sources import readers as rd
 from orbitlens.sources import writers as wr
@@ -129,7 +129,7 @@ def test_requests(spark):
     wide = rd.instance_columns(rows, ["a", "b"], "request_id", "position").orderBy("request_id", "position").collect()
     assert [tuple(r) for r in wide] == [(0, 0, 1.0, 2.0), (0, 1, 3.0, 2.0), (3, 0, 1.0, None), (4, 0, 1.0, 2.0)]
     assert json.loads(spark.createDataFrame([(1.0, 2.0)], "a double, b double").select(
-        wr.instances_json(None, ["a", "b"])).first()[0]) == {"a": 1.0, "b": 2.0}
+        wr.instances_json(["a", "b"])).first()[0]) == {"a": 1.0, "b": 2.0}
 
 
 @pytest.mark.parametrize("weights", [None, fixed_weights(2, 4, 1)])
@@ -158,6 +158,12 @@ def test_score_vectors(spark):
     assert got == pytest.approx(md.infer_rows(w, np.zeros((1, 2)))[-1][0])
 
 
+def test_chunks_are_written_without_a_shuffle(spark, archives):
+    rows, _ = rd.read_archives(spark, str(archives / "in"))
+    plan = wr.chunk_rows(rows, 10, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 def test_filter_and_columns_reach_the_scan(spark):
     plan = periods(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(event_type), IsNotNull(value), EqualTo(event_type,error)" in plan
@@ -165,13 +171,18 @@ def test_filter_and_columns_reach_the_scan(spark):
 
 
 @pytest.mark.parametrize("options", [{}, {"n_buckets": 5}])
-def test_pipeline_with_model(spark, options):
+def test_pipeline_with_model(spark, tmp_path, options):
     rows = telemetry(spark, SF).withColumn("twice", F.col("value") * 2)
     settings = tr.FitSettings(latent_dim=2, hidden_dims=4, mixing=0.01, max_epochs=2, workers=2)
     done = run_pipeline(rows, periods(spark, SF), "ts", ["event_id"], ["value", "twice"],
                         window=dt.timedelta(hours=2), low=-20, high=0, n_thresholds=50, fit_settings=settings,
-                        **options)
+                        choices={"lr": [1e-3, 1e-2], "batch_size": [32], "beta": [1e-4]}, max_trials=2, **options)
     m = done.metrics.first()
+    assert done.trials.count() == 2 and done.model.settings.lr in (1e-3, 1e-2)
+    registry, weights = str(tmp_path / "runs"), str(tmp_path / "weights")
+    register_fit(spark, done.model, "nightly", registry, weights)
+    back = load_model(spark, "nightly", registry, weights)
+    assert all((back[n] == w).all() for n, w in done.model.weights.items())
     assert 0 <= m["composite_f1"] <= 1 and done.model.history.count() == 2
     assert done.results.columns == [
         "ts", "event_id", "neg_log_likelihood", "dataset", "Anomaly", "mean_z_0", "log_var_z_0", "mean_z_1",

@@ -58,6 +58,22 @@ def test_loss_equals_columns(spark):
     assert total == pytest.approx(loss, rel=1e-9)
 
 
+def test_normal_columns(spark):
+    df = spark.range(4000).select(
+        lk.normal_sample(F.lit(3.0), F.lit(2.0), 5).alias("s"),
+        lk.reparameterized(F.lit(1.0), F.lit(2.0), F.lit(-1.0)).alias("r"),
+        lk.log_density(F.lit(1.0), F.lit(0.0), F.lit(2.0)).alias("d"),
+        lk.entropy(F.lit(2.0)).alias("h"),
+        lk.variance(F.lit(0.5)).alias("v"),
+    )
+    m = df.agg(F.avg("s"), F.stddev("s"), F.max("r"), F.max("d"), F.max("h"), F.max("v")).first()
+    assert m[0] == pytest.approx(3, abs=0.15) and m[1] == pytest.approx(2, abs=0.15)
+    assert m[2] == pytest.approx(1 - np.e)
+    assert m[3] == pytest.approx(-1 / 8 - np.log(2) - 0.5 * np.log(2 * np.pi))
+    assert m[4] == pytest.approx(0.5 + 0.5 * np.log(2 * np.pi) + np.log(2))
+    assert m[5] == pytest.approx(np.exp(0.5))
+
+
 def test_infer_equals_sql_likelihood(rows):
     w = weights()
     for side in md.SIDES:

@@ -46,7 +46,7 @@ def test_transform(rows):
 
 
 def test_errors(rows):
-    with pytest.raises(ValueError, match="minmax"):
+    with pytest.raises(ValueError, match="robust"):
         sc.fit_scaler(rows, FEATURES, "robust")
     with pytest.raises(ValueError, match="missing"):
         sc.scale_columns(rows.drop("a"), sc.fit_scaler(rows, ["a"]))
@@ -63,5 +63,7 @@ def test_many_features(spark):
 def test_float_columns_and_width(spark):
     df = spark.createDataFrame([(1, 1.0, 2.0, "x", True)], "i int, d double, f float, s string, b boolean")
     assert sc.float_columns(df) == ["d", "f"]
+    cut = df.select(sc.first_features(sc.feature_vector(["d", "f"]), 1)).first()[0]
+    assert cut == [1.0]
     v = spark.createDataFrame([([1.0, 2.0],), ([1.0],), ([1.0, None],), (None,)], "v array<double>")
     assert [r[0] for r in v.select(sc.valid_width("v", 2)).collect()] == [True, False, False, False]
