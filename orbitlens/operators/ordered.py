@@ -34,6 +34,7 @@ ROWS_PER_BUCKET = 250_000
 MAX_BUCKETS = 4096
 SAMPLES_PER_BUCKET = 20
 _TREE_LIMIT = 32
+_CELL_LIMIT = 6
 
 
 @dataclass(frozen=True)
@@ -73,7 +74,15 @@ def _position(x: Column, kind: str, values: list) -> Column:
 
     if len(values) <= _TREE_LIMIT:
         return branch(0, len(values))
-    table = F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
+    table = _array(values, kind)
+    cells = _cells(values) if kind == "bigint" else None
+    if cells:
+        before, width, most = cells
+        cell = F.call_function("div", x - values[0], F.lit(width))
+        at = F.get(_array(before, "int"), cell.cast("int"))
+        for i in range(most):
+            at = at + F.when(F.get(table, F.get(_array(before, "int"), cell.cast("int")) + i) <= x, 1).otherwise(0)
+        return F.when(x < values[0], F.lit(0)).when(x >= values[-1], F.lit(len(values))).otherwise(at)
     strides = F.lit([1 << i for i in reversed(range(len(values).bit_length()))])
     return F.aggregate(
         strides,
@@ -82,6 +91,26 @@ def _position(x: Column, kind: str, values: list) -> Column:
     )
 
 
+def _array(values: list, kind: str) -> Column:
+    """A constant array; one JSON text instead of one literal per value keeps plans small."""
+    return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
+
+
+def _cells(values: list[int]) -> tuple[list[int], int, int] | None:
+    """Equally wide cells over ascending values: how many values lie before each cell, the
+    cell width, and the most values in one cell. None when they are too uneven for that.
+    """
+    span = values[-1] - values[0]
+    for factor in (4, 16, 64):
+        width = span // (factor * len(values)) + 1
+        counts = [0] * (span // width + 1)
+        for v in values:
+            counts[(v - values[0]) // width] += 1
+        if max(counts) <= _CELL_LIMIT:
+            return list(accumulate(counts, initial=0))[:-1], width, max(counts)
+    return None
+
+
 def _bucket_of(keys: list[tuple[Column, str]], cuts: list[tuple]) -> Column:
     """Bucket number from sorted cut tuples; repeated first values are split by the rest."""
     x, kind = keys[0]
@@ -89,7 +118,7 @@ def _bucket_of(keys: list[tuple[Column, str]], cuts: list[tuple]) -> Column:
     before = list(accumulate((len(rest) for _, rest in groups), initial=0))
     bucket = _position(x, kind, [v for v, _ in groups])
     if len(keys) > 1 and before[-1] > len(groups):
-        bucket = F.get(F.lit(before), bucket)
+        bucket = F.get(_array(before, "int"), bucket)
         for (value, rest), offset in zip(groups, before):
             rest = [r for r in rest if r[0] is not None]
             if len(rest) > 1:

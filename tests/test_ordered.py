@@ -123,3 +123,27 @@ def test_no_single_partition_exchange_on_rows(rows):
     frame = order_frame(rows, ["ts", "key"], n_buckets=8)
     plan = frame.df.select(F.sum(F.lit(1)).over(frame.ascending()))._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and BUCKET in plan
+
+
+@pytest.mark.parametrize("shape", ["few", "even", "clustered", "far"])
+def test_position_equals_bisect(spark, shape):
+    from bisect import bisect_right
+
+    from orbitlens.operators.ordered import _cells, _position
+
+    rnd = random.Random(1)
+    values = {
+        "few": [-5, 0, 7],
+        "even": sorted(rnd.sample(range(-10_000, 10_000), 300)),
+        "clustered": [*range(200), 10**12, 10**15],
+        "far": sorted(rnd.sample(range(1_700_000_000_000_000, 1_700_000_900_000_000), 500)),
+    }[shape]
+    assert (_cells(values) is None) == (shape == "clustered")
+    probes = sorted({v + d for v in values for d in (-1, 0, 1)} | {values[0] - 10**6, values[-1] + 10**6})
+    df = spark.createDataFrame([(p,) for p in probes], "x bigint")
+    got = {r[0]: r[1] for r in df.select("x", _position(F.col("x"), "bigint", values)).collect()}
+    assert got == {p: bisect_right(values, p) for p in probes}
+    texts = sorted(f"t{v:05d}" for v in range(0, 400, 3))
+    words = spark.createDataFrame([(f"t{v:05d}",) for v in range(-1, 401)], "x string")
+    got = {r[0]: r[1] for r in words.select("x", _position(F.col("x"), "string", texts)).collect()}
+    assert got == {w: bisect_right(texts, w) for w in got}
