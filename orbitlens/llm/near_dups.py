@@ -26,6 +26,7 @@ table gives no rows; input columns named like an output column are replaced.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -113,11 +114,16 @@ def odd_sketches(samples: np.ndarray) -> np.ndarray:
     return np.packbits(odd, axis=1).view(np.uint64)
 
 
-def estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Similarities from odd sketches; 0 where the sketches are as far apart as unrelated ones."""
-    differ = np.bitwise_count(a ^ b).sum(axis=-1).astype(float)
-    left = 1 - 2 * np.minimum(differ, SKETCH_BITS / 2 - 0.5) / SKETCH_BITS
-    return np.maximum(0, 1 + SKETCH_BITS / (4 * BANDS * ROWS) * np.log(left))
+def differing_bits(percent: int) -> int:
+    """Sketch bits that may differ at most if the estimate is to reach the limit less SLACK."""
+    low = percent / 100 - SLACK
+    return int(SKETCH_BITS / 2 * (1 - math.exp((low - 1) * 4 * BANDS * ROWS / SKETCH_BITS)))
+
+
+def _lists(rows: np.ndarray) -> pa.Array:
+    """The rows of a uint64 matrix as lists of longs."""
+    flat = pa.array(tx.signed(np.ascontiguousarray(rows)).reshape(-1))
+    return pa.FixedSizeListArray.from_arrays(flat, rows.shape[1]).cast(pa.list_(pa.int64()))
 
 
 def _sign(k: int):
@@ -126,13 +132,12 @@ def _sign(k: int):
             for lo, hi, data, bounds in tx.slices(batch.column("text")):
                 s = Shingles(data, bounds, k)
                 samples = minhashes(s.hashes, s.bounds, BANDS * ROWS)
-                keys = pa.FixedSizeListArray.from_arrays(pa.array(tx.signed(band_keys(samples).reshape(-1))), BANDS)
-                sketch = odd_sketches(samples)
+                keys = _lists(band_keys(samples))
+                sketch = _lists(odd_sketches(samples))
                 yield pa.RecordBatch.from_arrays([
                     *[batch.column(c).slice(lo, hi - lo) for c in ("rid", "doc_id", "key1", "key2")],
                     pa.array([len(x) for x in s.sets()], pa.int64()), pa.array(tx.signed(s.content[0])),
-                    pa.array(tx.signed(s.content[1])), keys.cast(pa.list_(pa.int64())),
-                    pa.array([x.tobytes() for x in sketch], pa.binary()),
+                    pa.array(tx.signed(s.content[1])), keys, sketch,
                 ], ["rid", "doc_id", "key1", "key2", "n_shingles", "c1", "c2", "keys", "sketch"])
 
     return run
@@ -181,7 +186,7 @@ class _Members:
         self.sizes = np.array([len(x) // 8 for x in sets], np.int64)
         self.bounds = np.concatenate([[0], np.cumsum(self.sizes)])
         self.flat = np.frombuffer(b"".join(sets), np.uint64)
-        self.sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(len(sets), -1)
+        self.sketch = table["sketch"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(sets), -1)
 
     def one(self, i: int) -> np.ndarray:
         return self.flat[self.bounds[i]:self.bounds[i + 1]]
@@ -190,7 +195,7 @@ class _Members:
         """Which of ``among`` are linked with the set ``values``."""
         size = self.sizes[among]
         near = 100 * np.minimum(size, len(values)) >= percent * np.maximum(size, len(values))
-        near &= estimates(self.sketch[among], sketch) >= percent / 100 - SLACK
+        near &= np.bitwise_count(self.sketch[among] ^ sketch).sum(axis=1) <= differing_bits(percent)
         among = among[near]
         if not len(among):
             return among
@@ -202,7 +207,7 @@ class _Members:
 
 
 SIGNED = ("rid bigint, doc_id bigint, key1 bigint, key2 int, n_shingles bigint, c1 bigint, c2 bigint, "
-          "keys array<bigint>, sketch binary")
+          "keys array<bigint>, sketch array<bigint>")
 EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -271,37 +276,42 @@ def find_links(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> Dat
     members = materialize(
         shared.join(hubs.select("bucket", (-F.col("top.node")).alias("hub")), "bucket").select("hub", "node").distinct(),
         "members")
-    wanted = classes.join(members.select("node").distinct(), "node", "left_semi")
-    bits = bitmap.build(wanted, "c1")
-    sets = (docs.select("text").mapInArrow(_sets(k, bits), "c1 bigint, c2 bigint, shingles binary")
+    groups = members.groupBy("hub").agg(F.count("*").alias("size"))
+    rows = members.join(groups, "hub").join(classes.select("node", "c1", "c2", "sketch"), "node")
+    # a hub and a single mate whose sketches are too far apart need no confirmation; this is the bulk of chance buckets
+    mate = rows.where("size = 2 and hub <> node").select("hub", F.col("sketch").alias("other"))
+    differ = F.aggregate(F.zip_with("sketch", "other", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
+    apart = (rows.where("size = 2 and hub = node").join(mate, "hub").where(differ > differing_bits(percent)).select("hub"))
+    rows = rows.join(apart, "hub", "left_anti")
+    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
+    rows = rows.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    rows = materialize(rows.drop("size"), "groups")
+    wanted = bitmap.build(rows, "c1")
+    sets = (docs.select("text").mapInArrow(_sets(k, wanted), "c1 bigint, c2 bigint, shingles binary")
             .dropDuplicates(["c1", "c2"]))
-    sets = materialize(wanted.select("node", "c1", "c2", "sketch").join(sets, ["c1", "c2"]).select(
-        "node", "sketch", "shingles"), "sets")
+    groups = materialize(rows.join(sets, ["c1", "c2"]).drop("c1", "c2"), "groups")
 
-    chunks = members.groupBy("hub").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    placed = members.join(chunks, "hub").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    copies = placed.where("hub = node").select("hub", "node", "chunks", F.explode(F.expr("sequence(0, chunks - 1)")).alias("chunk"))
-    rows = placed.where("hub <> node").select("hub", "node", "chunks", "chunk").union(copies).join(sets, "node")
+    # the hub stands in every chunk of its group
+    everywhere = F.when(F.col("hub") == F.col("node"), F.expr("sequence(0, chunks - 1)")).otherwise(F.array("chunk"))
     schema = "a bigint, b bigint"
     near = materialize(
-        rows.groupBy("hub", "chunk").applyInArrow(
+        groups.withColumn("chunk", F.explode(everywhere)).groupBy("hub", "chunk").applyInArrow(
             lambda key, t: _with_hub(key, _near_hub(percent)(key, t)), f"hub bigint, {schema}"), "links")
     links = near.where("a <> b").select("a", "b")
 
     # documents of cut groups that their hub does not reach meet all chunks
-    large = chunks.where("chunks > 1")
-    alone = near.where("a = b").select("hub", F.col("a").alias("node")).distinct().join(large, "hub")
+    large = groups.where("chunks > 1")
+    if not large.head(1):
+        return links
+    alone = large.join(near.where("a = b").select("hub", F.col("a").alias("node")).distinct(), ["hub", "node"])
     blocks = alone.groupBy("hub").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("blocks"))
     alone = (alone.join(blocks, "hub")
              .withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
-             .select("hub", "node", "block", F.explode(F.expr("sequence(0, chunks - 1)")).alias("chunk")))
-    group = (placed.join(blocks, "hub").where("chunks > 1")
-             .select("hub", "node", "chunk", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block")))
-    keys = ["hub", "block", "chunk"]
-    u, m = alone.join(sets, "node"), group.join(sets, "node")
-    m = m.select(*[F.col(c).alias(c) for c in m.columns])
-    far = u.groupBy(*keys).cogroup(m.groupBy(*keys)).applyInArrow(_across(percent), schema)
-    return links.union(far) if large.head(1) else links
+             .withColumn("chunk", F.explode(F.expr("sequence(0, chunks - 1)"))))
+    others = large.join(blocks, "hub").withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
+    keys, values = ["hub", "block", "chunk"], ["node", "sketch", "shingles"]
+    u, m = (x.select(*[F.col(c).alias(c) for c in keys + values]) for x in (alone, others))
+    return links.union(u.groupBy(*keys).cogroup(m.groupBy(*keys)).applyInArrow(_across(percent), schema))
 
 
 def _with_hub(key, table: pa.Table) -> pa.Table:

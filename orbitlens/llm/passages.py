@@ -3,19 +3,20 @@
 A window of ``window`` words is removed from a document if the same window starts in a document
 with a smaller doc_id. Removed words are those that a removed window covers.
 
-1. Anchors. Of every window's k-word phrases the one with the least hash is its anchor, so equal
+1. Copies. Of equal texts the one with the least doc_id goes on; the others are wholly removed.
+2. Anchors. Of every window's k-word phrases the one with the least hash is its anchor, so equal
    windows have equal anchors. Counting anchors over all documents (about two for every nine
    positions) leaves the few that occur more than once.
-2. Confirmation. Windows with such an anchor are counted themselves, with their least and largest
+3. Confirmation. Windows with such an anchor are counted themselves, with their least and largest
    doc_id. Those of two documents or more recur; the least doc_id owns them. Counts are combined
    within tasks before they move, so a window that a third of all documents hold is no hot key.
-3. Passages. Owners' recurring windows are joined to the longest passages, cut into overlapping
+4. Passages. Owners' recurring windows are joined to the longest passages, cut into overlapping
    pieces of ``PIECE`` windows.
-4. Automata. Documents are dealt into blocks of a few megabytes. A block gets the passages whose
-   anchor phrases it holds, compiles these phrases into one Aho-Corasick automaton, and streams its
-   documents through it. Where a phrase occurs, the windows around are looked up among the
-   passages' windows. So every text passes exactly one automaton, and an automaton is never larger
-   than what its block can match.
+5. Automata. Documents with a recurring window are dealt into blocks of a few megabytes; the others
+   stay where they are. A block gets the pieces of which it holds a window, compiles their anchor
+   phrases into one Aho-Corasick automaton, and streams its documents through it. Where a phrase
+   occurs, the windows around are looked up among the pieces' windows. So a text passes one
+   automaton, and an automaton is never larger than what its block can match.
 
 Windows are compared by 64-bit hashes, phrases by their text.
 
@@ -34,12 +35,13 @@ from itertools import compress
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orbitlens.llm import bitmap
 from orbitlens.llm import textops as tx
-from orbitlens.llm.decontaminate import kept_grams
+from orbitlens.llm.decontaminate import kept_grams, text_key
 from orbitlens.session import materialize
 
 WINDOW = 13
@@ -82,9 +84,28 @@ def _arrow(names: list[str], arrays: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names)
 
 
-def _count_anchors(window: int, k: int):
+def _suspected(batch: pa.RecordBatch, bits) -> np.ndarray:
+    """Rows whose text may have a copy; rows without a key have been looked at."""
+    key = batch.column("__key1")
+    return bitmap.contains(bits.value, pc.fill_null(key, 0).to_numpy().view(np.uint64)) & key.is_valid().to_numpy(zero_copy_only=False)
+
+
+def _single(batches: Iterator[pa.RecordBatch], bits) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.filter(pa.array(~_suspected(batch, bits)))
+
+
+def _only_suspected(bits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            yield batch.filter(pa.array(_suspected(batch, bits)))
+
+    return run
+
+
+def _count_anchors(window: int, k: int, copies):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _single(batches, copies):
             for _, _, data, bounds in tx.slices(batch.column("text")):
                 _, anchors = Parsed(data, bounds, window, k).anchors()
                 values, counts = np.unique(anchors, return_counts=True)
@@ -93,17 +114,17 @@ def _count_anchors(window: int, k: int):
     return run
 
 
-def _recurring_windows(window: int, k: int, bits):
+def _recurring_windows(window: int, k: int, copies, bits):
     """Windows with a recurring anchor, with the least and largest doc_id of the slice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _single(batches, copies):
             for lo, hi, data, bounds in tx.slices(batch.column("text")):
                 p = Parsed(data, bounds, window, k)
                 where, anchors = p.anchors()
                 at = p.near(where[bitmap.contains(bits.value, anchors)])
                 if not len(at):
                     continue
-                ids = batch.column("doc_id").slice(lo, hi - lo).to_numpy()[p.words.owners()[at]]
+                ids = batch.column("__doc").slice(lo, hi - lo).to_numpy()[p.words.owners()[at]]
                 h = p.windows(at)
                 order = np.lexsort((ids, h))
                 h, ids = h[order], ids[order]
@@ -114,13 +135,13 @@ def _recurring_windows(window: int, k: int, bits):
     return run
 
 
-def _texts_of(bits):
+def _texts_of(copies, bits):
     """The documents whose doc_id the bitmap lets through."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _single(batches, copies):
             ok = bitmap.contains(bits.value, batch.column("hash").to_numpy().view(np.uint64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c).filter(pa.array(ok)) for c in ("doc_id", "text")], ["doc_id", "text"])
+                [batch.column(c).filter(pa.array(ok)) for c in ("__doc", "text")], ["doc_id", "text"])
 
     return run
 
@@ -155,21 +176,24 @@ def _passages(window: int, k: int):
     return run
 
 
-def _anchors_of(window: int, k: int, columns: list[str], bits=None):
-    """Distinct (anchor, columns) of each slice; with a bitmap only the anchors it lets through."""
+def _windows_of(window: int, k: int, columns: list[str], copies=None, bits=None):
+    """Distinct (window, columns) of each slice; with a bitmap only the windows it lets through."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in batches if copies is None else _single(batches, copies):
             for lo, hi, data, bounds in tx.slices(batch.column("text")):
                 p = Parsed(data, bounds, window, k)
-                where, anchors = p.anchors()
+                h, rows = p.windows(), p.owner
                 if bits is not None:
-                    ok = bitmap.contains(bits.value, anchors)
-                    where, anchors = where[ok], anchors[ok]
-                rows = p.words.owners()[where]
+                    ok = bitmap.contains(bits.value, h)
+                    h, rows = h[ok], rows[ok]
                 values = [batch.column(c).slice(lo, hi - lo).to_numpy()[rows] for c in columns]
-                table = np.stack([tx.signed(anchors), *values], axis=1)
-                table = np.unique(table, axis=0)
-                yield _arrow(["anchor", *columns], [np.ascontiguousarray(table[:, i]) for i in range(table.shape[1])])
+                order = np.lexsort((*values, h))
+                h, values = h[order], [v[order] for v in values]
+                new = np.zeros(len(h), bool)
+                new[:1] = True
+                for v in (h, *values):
+                    new[1:] |= v[1:] != v[:-1]
+                yield _arrow(["window", *columns], [tx.signed(h[new]), *[v[new] for v in values]])
 
     return run
 
@@ -222,44 +246,87 @@ class Automaton:
         return np.cumsum(gone)[:-1] > 0
 
 
-def _clean(window: int, k: int, text: str):
-    """Adds n_words, n_removed, kept_words and cut_text to a block's documents."""
-    def run(docs: pa.Table, passages: pa.Table) -> pa.Table:
-        docs = docs.combine_chunks()
-        passages = passages.combine_chunks()
-        machine = Automaton(passages["owner"].to_numpy(), passages["text"], window, k)
+def _cleaned(table: pa.Table, text: str, drop: list[str], parts: Iterator[tuple[Parsed, np.ndarray, np.ndarray]]) -> pa.Table:
+    """The table with n_words, n_removed, kept_words and cut_text from (parsed slice, its bounds, removed words)."""
+    n_words, n_removed, kept, cut = [], [], [], []
+    for p, bounds, gone in parts:
+        w = p.words
+        n_words.append(w.counts)
+        n_removed.append(tx.sums(gone.astype(np.int64), w.first))
+        for d in range(len(bounds) - 1):
+            a, b = int(w.first[d]), int(w.first[d + 1])
+            out = gone[a:b]
+            whole = w.data[bounds[d]:bounds[d + 1]]
+            pieces = whole.tobytes().split()
+            kept.append(b" ".join(compress(pieces, (~out).tolist()) if out.any() else pieces))
+            if out.any():  # a removed word goes with the space behind it
+                ends = np.append(w.starts[a + 1:b], bounds[d + 1])
+                mask = np.zeros(len(whole) + 1, np.int64)
+                np.add.at(mask, w.starts[a:b][out] - bounds[d], 1)
+                np.add.at(mask, ends[out] - bounds[d], -1)
+                whole = whole[np.cumsum(mask)[:-1] == 0]
+            cut.append(whole.tobytes())
+    join = lambda x: pa.array(np.concatenate(x).astype(np.int64) if x else [], pa.int64())
+    out = table.drop_columns(drop).append_column("n_words", join(n_words)).append_column("n_removed", join(n_removed))
+    for name, values in (("kept_words", kept), ("cut_text", cut)):
+        out = out.append_column(name, pa.array(values, pa.large_binary()).cast(pa.large_string()).cast(pa.string()))
+    return out
+
+
+def _clean(window: int, k: int):
+    """A block's documents, cleaned by its automaton."""
+    def run(docs: pa.Table, pieces: pa.Table) -> pa.Table:
+        docs, pieces = docs.combine_chunks(), pieces.combine_chunks()
+        machine = Automaton(pieces["owner"].to_numpy(), pieces["text"], window, k)
         ids = docs["__doc"].to_numpy()
-        n_words, n_removed, kept, cut = [], [], [], []
-        for lo, hi, data, bounds in tx.slices(docs[text]):
-            p = Parsed(data, bounds, window, k)
-            gone = machine.removed(p, ids[lo:hi])
-            w = p.words
-            n_words.append(w.counts)
-            n_removed.append(tx.sums(gone, w.first))
-            for d in range(hi - lo):
-                a, b = int(w.first[d]), int(w.first[d + 1])
-                out = gone[a:b]
-                whole = data[bounds[d]:bounds[d + 1]]
-                pieces = whole.tobytes().split()
-                kept.append(b" ".join(compress(pieces, (~out).tolist()) if out.any() else pieces))
-                if out.any():  # a removed word goes with the space behind it
-                    ends = np.append(w.starts[a + 1:b], bounds[d + 1])
-                    mask = np.zeros(len(whole) + 1, np.int64)
-                    np.add.at(mask, w.starts[a:b][out] - bounds[d], 1)
-                    np.add.at(mask, ends[out] - bounds[d], -1)
-                    whole = whole[np.cumsum(mask)[:-1] == 0]
-                cut.append(whole.tobytes())
-        join = lambda x: np.concatenate(x) if x else np.empty(0, np.int64)
-        out = docs.drop_columns(["__doc", "__block"])
-        out = out.append_column("n_words", pa.array(join(n_words).astype(np.int64)))
-        out = out.append_column("n_removed", pa.array(join(n_removed).astype(np.int64)))
-        for name, values in (("kept_words", kept), ("cut_text", cut)):
-            out = out.append_column(name, pa.array(values, pa.large_binary()).cast(pa.large_string()).cast(pa.string()))
-        return out
+
+        def parts():
+            for lo, hi, data, bounds in tx.slices(docs["text"]):
+                p = Parsed(data, bounds, window, k)
+                yield p, bounds, machine.removed(p, ids[lo:hi])
+
+        return _cleaned(docs, "text", EXTRA, parts())
 
     return run
 
 
+def _untouched(window: int, k: int, copies, bits, yes: bool):
+    """Documents without a recurring window, as they are; or the others, for their blocks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _single(batches, copies):
+            for lo, hi, data, bounds in tx.slices(batch.column("text")):
+                p = Parsed(data, bounds, window, k)
+                hit = np.zeros(hi - lo, bool)
+                hit[p.owner[bitmap.contains(bits.value, p.windows())]] = True
+                rows = pa.Table.from_batches([batch.slice(lo, hi - lo)]).filter(pa.array(hit if yes else ~hit))
+                if yes:
+                    yield from rows.to_batches()
+                else:
+                    yield from _cleaned(rows, "text", EXTRA, _unchanged(rows["text"], window, k)).to_batches()
+
+    return run
+
+
+def _unchanged(texts: pa.ChunkedArray, window: int, k: int, all_of: bool = False):
+    """Parsed slices of which no word is removed; or all words of texts that have a window."""
+    for _, _, data, bounds in tx.slices(texts):
+        p = Parsed(data, bounds, window, k)
+        gone = np.repeat(p.words.counts >= window, p.words.counts) if all_of else np.zeros(len(p.hashes), bool)
+        yield p, bounds, gone
+
+
+def _copies_gone(window: int, k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            yield from _cleaned(table, "text", EXTRA, _unchanged(table["text"], window, k, all_of=True)).to_batches()
+
+    return run
+
+
+EXTRA = ["__doc", "__key1", "__key2", "__block"]
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text",
                    k: int = PHRASE) -> DataFrame:
     """All rows with n_words, n_removed, kept_words (joined by one space) and cut_text (the text without removed words)."""
@@ -267,28 +334,44 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
     added = ["n_words", "n_removed", "kept_words", "cut_text"]
     docs = docs.drop(*added)
     number = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))
-    slim = docs.select(number.alias("doc_id"), F.col(text).alias("text"))
-    anchors = (slim.select("text").mapInArrow(_count_anchors(window, k), "anchor bigint, n bigint")
+    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    n_blocks = max(math.ceil(total / BLOCK_BYTES), 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    key1, key2 = (c.alias(f"__{n}") for c, n in zip(text_key(F.col(text)), ("key1", "key2")))
+    block = F.pmod(F.xxhash64(number, F.col(text)), F.lit(n_blocks)).cast("long").alias("__block")
+    whole = docs.select("*", number.alias("__doc"), key1, key2, block).withColumnRenamed(text, "text")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in whole.schema.fields)
+    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in whole.drop(*EXTRA).schema.fields)
+    out += ", n_words bigint, n_removed bigint, kept_words string, cut_text string"
+
+    equal = (whole.groupBy("__key1", "__key2").agg(F.min("__doc").alias("__least"), F.count("*").alias("n"))
+             .where("n > 1").drop("n"))
+    copies = bitmap.build(equal, "__key1")
+    doubtful = materialize(whole.mapInArrow(_only_suspected(copies), kinds).join(equal, ["__key1", "__key2"], "left")
+                           .select(*whole.columns, "__least"), "copies")
+    later = F.col("__doc") > F.col("__least")
+    firsts = doubtful.where(~F.coalesce(later, F.lit(False))).drop("__least").withColumn("__key1", F.lit(None).cast("long"))
+    later_copies = doubtful.where(later).drop("__least").mapInArrow(_copies_gone(window, k), out)
+    stream = whole.union(firsts.select(*whole.columns))  # every pass leaves out what it finds in the bitmap of copies
+
+    slim = stream.select("__doc", "__key1", "text")
+    anchors = (slim.mapInArrow(_count_anchors(window, k, copies), "anchor bigint, n bigint")
                .groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1"))
-    windows = (slim.mapInArrow(_recurring_windows(window, k, bitmap.build(anchors, "anchor")), "window bigint, least bigint, most bigint")
+    recurring = _recurring_windows(window, k, copies, bitmap.build(anchors, "anchor"))
+    windows = (slim.mapInArrow(recurring, "window bigint, least bigint, most bigint")
                .groupBy("window").agg(F.min("least").alias("least"), F.max("most").alias("most")).where("least < most"))
     owned = materialize(windows.groupBy(F.col("least").alias("doc_id")).agg(F.collect_list("window").alias("windows")), "owned")
-    hashed = F.xxhash64("doc_id").alias("hash")
-    bits = bitmap.build(owned.select(hashed), "hash")
-    owners = slim.select("*", hashed).mapInArrow(_texts_of(bits), "doc_id bigint, text string").join(owned, "doc_id")
-    passages = materialize(
-        owners.mapInArrow(_passages(window, k), "owner bigint, start bigint, text string"), "passages")
-
-    total = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = max(math.ceil(total / BLOCK_BYTES), 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    block = F.pmod(F.xxhash64(number, F.col(text)), F.lit(n_blocks))
-    marks = passages.mapInArrow(_anchors_of(window, k, ["owner", "start"]), "anchor bigint, owner bigint, start bigint")
-    marks = materialize(marks.distinct(), "marks")
-    bits = bitmap.build(marks, "anchor")
-    seen = docs.select(block.cast("long").alias("block"), F.col(text).alias("text")).mapInArrow(_anchors_of(window, k, ["block"], bits), "anchor bigint, block bigint").distinct()
-    needed = (seen.join(marks, "anchor").select("block", "owner", "start").distinct()
-              .join(passages, ["owner", "start"]).select("block", "owner", "text"))
-    whole = docs.select("*", number.alias("__doc"), block.cast("long").alias("__block"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return whole.groupBy("__block").cogroup(needed.groupBy("block")).applyInArrow(
-        _clean(window, k, text), f"{schema}, n_words bigint, n_removed bigint, kept_words string, cut_text string")
+    bits = bitmap.build(owned.select(F.xxhash64("doc_id").alias("hash")), "hash")
+    owners = (slim.select("*", F.xxhash64("__doc").alias("hash"))
+              .mapInArrow(_texts_of(copies, bits), "doc_id bigint, text string").join(owned, "doc_id"))
+    passages = materialize(owners.mapInArrow(_passages(window, k), "owner bigint, start bigint, text string").distinct(), "passages")
+
+    known = passages.mapInArrow(_windows_of(window, k, ["owner", "start"]), "window bigint, owner bigint, start bigint")
+    bits = bitmap.build(owned.select(F.explode("windows").alias("window")), "window")
+    held = (stream.select("__block", "__key1", "text")
+            .mapInArrow(_windows_of(window, k, ["__block"], copies, bits), "window bigint, __block bigint").distinct())
+    needed = (held.join(known, "window").select("__block", "owner", "start").distinct()
+              .join(passages, ["owner", "start"]).select(F.col("__block").alias("block"), "owner", "text"))
+    same = stream.mapInArrow(_untouched(window, k, copies, bits, False), out)
+    touched = stream.mapInArrow(_untouched(window, k, copies, bits, True), kinds)
+    cleaned = touched.groupBy("__block").cogroup(needed.groupBy("block")).applyInArrow(_clean(window, k), out)
+    return same.union(cleaned).union(later_copies).withColumnRenamed("text", text)
