@@ -4,23 +4,14 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orbitlens.functions.scalars import micros, plus, to_micros
+from orbitlens.functions.scalars import micros, plus
 from orbitlens.operators.ordered import order_frame, scan
 from orbitlens.session import materialize
 
-# Up to this many periods are broadcast as a table of time cells of a bounded size; beyond
-# it rows and periods go through one ordered scan.
-MAX_BROADCAST_PERIODS = 100_000
-MAX_CELL_ENTRIES = 1_000_000
-MAX_PERIODS_PER_CELL = 64
-
-
 def merge_periods(
     periods: DataFrame,
     start: str = "start",
@@ -60,47 +51,6 @@ def windows_around(rows: DataFrame, ts: str, width: timedelta, **options) -> Dat
     return merged.select(plus("start", -width).alias("start"), plus("end", width).alias("end"))
 
 
-def _few_periods(periods: DataFrame, start: str = "start", end: str = "end") -> np.ndarray | None:
-    """Start and end in microseconds as two local rows, or None beyond the broadcast bound."""
-    rows = periods.select(micros(start).alias("s"), micros(end).alias("e")).limit(MAX_BROADCAST_PERIODS + 1).toArrow()
-    if rows.num_rows > MAX_BROADCAST_PERIODS:
-        return None
-    return np.stack([c.to_numpy() for c in rows.drop_null().columns]).astype(np.int64)
-
-
-def _merge_few(periods: np.ndarray, gap: int = 0, closed: bool = False) -> np.ndarray:
-    """:func:`merge_periods` for a bounded local table."""
-    start, end = periods[:, periods[0] <= periods[1] if closed else periods[0] < periods[1]]
-    order = np.argsort(start, kind="stable")
-    start, reach = start[order], np.maximum.accumulate(end[order])
-    opens = np.flatnonzero(np.r_[True, start[1:] > reach[:-1] + gap]) if len(start) else np.empty(0, int)
-    return np.stack([start[opens], reach[np.r_[opens[1:] - 1, len(start) - 1]] if len(opens) else reach])
-
-
-def _cell_table(periods: np.ndarray) -> tuple[pa.Table, int, int] | None:
-    """Disjoint periods cut at equally wide cells, with the cells' origin and width.
-
-    Cells get narrower until none holds many periods; None when the table would get large.
-    """
-    start, end = periods
-    origin = int(start.min())
-    span = int(end.max()) - origin
-    cells = 4 * len(start)
-    while True:
-        width = max(1, span // cells + 1)
-        first, last = (start - origin) // width, (end - origin) // width
-        times = last - first + 1
-        if times.sum() > MAX_CELL_ENTRIES:
-            return None
-        which = np.repeat(np.arange(len(start)), times)
-        cell = first[which] + np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
-        if np.unique(cell, return_counts=True)[1].max() <= MAX_PERIODS_PER_CELL:
-            return pa.table({"__cell": cell, "__start": start[which], "__end": end[which]}), origin, width
-        if width == 1:
-            return None
-        cells *= 8
-
-
 def mark_inside(
     df: DataFrame,
     ts: str,
@@ -108,50 +58,47 @@ def mark_inside(
     out: str,
     closed: bool = False,
     disjoint: bool = False,
-    method: str = "auto",
+    method: str = "cells",
     key: list[str] | tuple[str, ...] = (),
     **options,
 ) -> DataFrame:
     """1 for rows inside any period (half-open, or closed), else 0.
 
-    ``cells``: the merged periods are cut into time cells and broadcast, rows stay where they
-    are. ``scan``: one ordered pass over rows and period starts; a row is inside when the
-    largest end seen so far lies beyond it. ``auto`` takes cells while the periods are few.
-    ``key`` splits rows that share one timestamp when the scan is used.
+    ``cells``: a disjoint period of length l gets the least level k with 2**k >= l and touches at
+    most two of the cells of width 2**k, so periods of any number, density or length make at most
+    two entries each. Rows are joined on their cell once for each level in use (at most 64); the
+    engine chooses between broadcast and shuffle by the size of a level. Streams may be marked.
+    ``scan``: one ordered pass over rows and period starts; a row is inside when the largest end
+    seen so far lies beyond it. ``key`` splits rows that share one timestamp in that pass.
     """
-    if method not in ("auto", "cells", "scan"):
+    if method not in ("cells", "scan"):
         raise ValueError(f"unknown method {method!r}")
-    if method != "scan":
-        few = _few_periods(periods)
-        if few is None and not disjoint:
-            periods = materialize(merge_periods(periods, closed=closed, **options), "periods")
-            few = _few_periods(periods)
-        marked = None if few is None else _mark_by_cells(df, ts, _merge_few(few, closed=closed), out, closed)
-        if marked is not None:
-            return marked
-        if method == "cells":
-            raise ValueError("too many or too dense periods to broadcast")
-    return _mark_by_scan(df, ts, periods, out, closed, key, **options)
-
-
-def _mark_by_cells(df: DataFrame, ts: str, periods: np.ndarray, out: str, closed: bool) -> DataFrame | None:
-    if periods.shape[1] == 0:
-        return df.withColumn(out, F.lit(0))
-    table = _cell_table(periods)
-    if table is None:
-        return None
-    entries, origin, width = table
-    cells = df.sparkSession.createDataFrame(entries)
-    probe = df.withColumn("__us", micros(ts)).withColumn("__at", F.expr(f"(__us - {origin}L) div {width}L"))
-    within = F.col("__us") <= F.col("__end") if closed else F.col("__us") < F.col("__end")
-    # at most MAX_CELL_ENTRIES rows; disjoint periods give at most one match
-    joined = probe.join(
-        F.broadcast(cells),
-        (F.col("__at") == F.col("__cell")) & (F.col("__us") >= F.col("__start")) & within,
-        "left",
+    if method == "scan":
+        return _mark_by_scan(df, ts, periods, out, closed, key, **options)
+    if not disjoint:
+        periods = materialize(merge_periods(periods, closed=closed, **options), "periods")
+    return _mark_by_cells(df, ts, periods, out, closed)
+
+
+def _mark_by_cells(df: DataFrame, ts: str, periods: DataFrame, out: str, closed: bool) -> DataFrame:
+    start, end = micros("start"), micros("end")
+    last = end if closed else end - 1
+    # bits of length - 1: the least k with 2**k >= length
+    level = F.length(F.bin(last - start)) - F.when(last == start, 1).otherwise(0)
+    cells = F.array_distinct(F.array(F.expr("shiftright(s, level)"), F.expr("shiftright(last, level)")))
+    entries = (
+        periods.where(start <= last).select(start.alias("s"), last.alias("last"), level.cast("int").alias("level"))
+        .select("s", "last", "level", F.explode(cells).alias("cell"))
     )
-    flag = F.col("__start").isNotNull().cast("int").alias(out)
-    return joined.select(*[F.col(c) for c in df.columns if c != out], flag)
+    levels = [r["level"] for r in entries.select("level").distinct().orderBy("level").collect()]
+    marked = df.withColumn("__us", micros(ts))
+    for k in levels:
+        part = entries.where(F.col("level") == k).select(
+            F.col("cell").alias(f"__cell{k}"), F.col("s").alias(f"__s{k}"), F.col("last").alias(f"__last{k}"))
+        inside = F.col("__us").between(F.col(f"__s{k}"), F.col(f"__last{k}"))
+        marked = marked.join(part, (F.shiftright("__us", k) == F.col(f"__cell{k}")) & inside, "left")
+    hit = F.coalesce(*[F.col(f"__s{k}") for k in levels]).isNotNull() if levels else F.lit(False)
+    return marked.select(*[F.col(c) for c in df.columns if c != out], hit.cast("int").alias(out))
 
 
 def _mark_by_scan(df, ts, periods, out, closed, key, **options) -> DataFrame:
@@ -180,19 +127,12 @@ def label_rows(
 
 
 def mark_near(
-    df: DataFrame, ts: str, positive: Column, width: timedelta, out: str = "is_test", **options
+    df: DataFrame, ts: str, positive: Column, width: timedelta, out: str = "is_test",
+    key: list[str] | tuple[str, ...] = (), method: str = "cells", **options
 ) -> DataFrame:
     """1 for rows at most ``width`` away from a row where ``positive`` holds (both ends in)."""
-    hits = df.filter(positive)
-    few = _few_periods(hits, ts, ts)
-    if few is not None:
-        reach = to_micros(width)
-        windows = _merge_few(few, gap=2 * reach, closed=True) + np.array([[-reach], [reach]])
-        marked = _mark_by_cells(df, ts, windows, out, closed=True)
-        if marked is not None:
-            return marked
-    windows = materialize(windows_around(hits, ts, width, **options), "windows")
-    return mark_inside(df, ts, windows, out, closed=True, disjoint=True, **options)
+    windows = materialize(windows_around(df.filter(positive), ts, width, **options), "windows")
+    return mark_inside(df, ts, windows, out, closed=True, disjoint=True, method=method, key=key, **options)
 
 
 def runs(df: DataFrame, ts: str, key: list[str], condition: Column, **options) -> DataFrame:

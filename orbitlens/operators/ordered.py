@@ -14,7 +14,7 @@ import json
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import accumulate, groupby
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -31,10 +31,8 @@ BUCKET = "__bucket"
 HALO = "__halo"
 
 ROWS_PER_BUCKET = 250_000
-MAX_BUCKETS = 4096
-SAMPLES_PER_BUCKET = 20
-_TREE_LIMIT = 32
-_CELL_LIMIT = 6
+MAX_BUCKETS = 65_536
+SAMPLES_PER_BUCKET = 10
 
 
 @dataclass(frozen=True)
@@ -63,70 +61,24 @@ def _sort_key(df: DataFrame, name: str) -> tuple[Column, str]:
     return F.col(name).cast("double"), "double"
 
 
-def _position(x: Column, kind: str, values: list) -> Column:
-    """How many of the ascending ``values`` are <= ``x``."""
-
-    def branch(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(x < F.lit(values[mid]).cast(kind), branch(lo, mid)).otherwise(branch(mid + 1, hi))
-
-    if len(values) <= _TREE_LIMIT:
-        return branch(0, len(values))
-    table = _array(values, kind)
-    cells = _cells(values) if kind == "bigint" else None
-    if cells:
-        before, width, most = cells
-        cell = F.call_function("div", x - values[0], F.lit(width))
-        at = F.get(_array(before, "int"), cell.cast("int"))
-        for i in range(most):
-            at = at + F.when(F.get(table, F.get(_array(before, "int"), cell.cast("int")) + i) <= x, 1).otherwise(0)
-        return F.when(x < values[0], F.lit(0)).when(x >= values[-1], F.lit(len(values))).otherwise(at)
-    strides = F.lit([1 << i for i in reversed(range(len(values).bit_length()))])
+def _bucket_of(keys: list[tuple[Column, str]], cuts: list[tuple]) -> Column:
+    """How many of the ascending cut tuples are <= the row's key; nulls come first.
+
+    A binary search over one constant array: its depth is the number of bits of the bucket
+    count, and the plan does not grow with the cuts or with repeated leading values.
+    """
+    fields = [f"k{i}" for i in range(len(keys))]
+    kind = ",".join(f"{f}:{k}" for f, (_, k) in zip(fields, keys))
+    table = F.from_json(F.lit(json.dumps([dict(zip(fields, c)) for c in cuts])), f"array<struct<{kind}>>")
+    row = F.struct(*[x.cast(k).alias(f) for f, (x, k) in zip(fields, keys)])
+    strides = F.lit([1 << i for i in reversed(range(len(cuts).bit_length()))])
     return F.aggregate(
         strides,
         F.lit(0),
-        lambda at, stride: F.when(F.get(table, at + stride - 1) <= x, at + stride).otherwise(at),
+        lambda at, stride: F.when(F.get(table, at + stride - 1) <= row, at + stride).otherwise(at),
     )
 
 
-def _array(values: list, kind: str) -> Column:
-    """A constant array; one JSON text instead of one literal per value keeps plans small."""
-    return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
-
-
-def _cells(values: list[int]) -> tuple[list[int], int, int] | None:
-    """Equally wide cells over ascending values: how many values lie before each cell, the
-    cell width, and the most values in one cell. None when they are too uneven for that.
-    """
-    span = values[-1] - values[0]
-    for factor in (4, 16, 64):
-        width = span // (factor * len(values)) + 1
-        counts = [0] * (span // width + 1)
-        for v in values:
-            counts[(v - values[0]) // width] += 1
-        if max(counts) <= _CELL_LIMIT:
-            return list(accumulate(counts, initial=0))[:-1], width, max(counts)
-    return None
-
-
-def _bucket_of(keys: list[tuple[Column, str]], cuts: list[tuple]) -> Column:
-    """Bucket number from sorted cut tuples; repeated first values are split by the rest."""
-    x, kind = keys[0]
-    groups = [(v, [c[1:] for c in g]) for v, g in groupby(cuts, key=lambda c: c[0])]
-    before = list(accumulate((len(rest) for _, rest in groups), initial=0))
-    bucket = _position(x, kind, [v for v, _ in groups])
-    if len(keys) > 1 and before[-1] > len(groups):
-        bucket = F.get(_array(before, "int"), bucket)
-        for (value, rest), offset in zip(groups, before):
-            rest = [r for r in rest if r[0] is not None]
-            if len(rest) > 1:
-                inner = _bucket_of(keys[1:], rest) + F.lit(offset)
-                bucket = F.when(x == F.lit(value).cast(kind), inner).otherwise(bucket)
-    return F.when(x.isNull(), F.lit(0)).otherwise(bucket)
-
-
 def order_frame(
     df: DataFrame,
     order: list[str] | tuple[str, ...],
@@ -136,7 +88,7 @@ def order_frame(
 ) -> OrderedFrame:
     """Give each row the number of its bucket in the global order.
 
-    Runs a count and, beyond one bucket, a sample of about 20 order keys per bucket. The
+    Runs a count and, beyond one bucket, a sample of about 10 order keys per bucket. The
     bounds only steer balance: any bounds give the same results.
     """
     order = tuple(order)

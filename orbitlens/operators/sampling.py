@@ -74,7 +74,7 @@ def split_rows(
     By default each remaining row draws for itself by its unique key, with no shuffle.
     ``exact`` takes exactly the rounded share of the remaining rows.
     """
-    near = mark_near(df, ts, F.col(label) == 1, window, "__near", **options)
+    near = mark_near(df, ts, F.col(label) == 1, window, "__near", **{"key": keys, **options})
     is_train = (
         _exact_cut(near.filter("__near = 0"), keys, train_fraction, seed)
         if exact

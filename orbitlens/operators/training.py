@@ -218,7 +218,9 @@ def validation_loss(frame: DataFrame, features: str, weights: Weights, epoch: in
         F.sum("rows").alias("rows"), F.sum("loss").alias("loss")
     ).first()
     shared.unpersist()
-    return total["loss"] / total["rows"] if total["rows"] else float("nan")
+    if not total["rows"]:
+        raise ValueError("the validation frame has no rows")
+    return total["loss"] / total["rows"]
 
 
 def spread_over_workers(df: DataFrame, key: list[str], workers: int) -> DataFrame:
@@ -251,10 +253,13 @@ def fit_prepared(train: DataFrame, validation: DataFrame, key: list[str], featur
         state, steps, train_loss = train_epoch(train, key, features, state, steps, epoch, settings)
         val_loss = validation_loss(validation, features, state[0], epoch, settings)
         log.append((epoch, float(train_loss), float(val_loss)))
-        if kept is None or val_loss < kept[0]:
+        # a loss that is not finite is never the best one
+        if math.isfinite(val_loss) and (kept is None or val_loss < kept[0]):
             kept = (val_loss, epoch, state[0])
-        if epoch - kept[1] >= settings.patience:
+        if epoch - (kept[1] if kept else 0) >= settings.patience:
             break
+    if kept is None:
+        raise ValueError(f"no finite validation loss in {len(log)} epochs")
     history = (
         train.sparkSession.createDataFrame(log, "epoch int, train_loss double, val_loss double")
         .withColumn("logged_at", iso_millis(F.current_timestamp()))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orbitlens.functions.scalars import chunk_file_name
+from orbitlens.functions.scalars import chunk_file_name, last_part
 
 
 def write_frame(df: DataFrame, path: str, mode: str = "error", partition_by: list[str] | None = None) -> None:
@@ -29,6 +29,12 @@ def chunk_rows(rows: DataFrame, rows_per_group: int, groups_per_chunk: int = 10,
     return rows.withColumn("chunk", chunk_column("row_index", rows_per_group, groups_per_chunk))
 
 
+def archive_name(path: Column | str) -> Column:
+    """A folder-safe name of an archive: its file name and eight digits of the path's hash."""
+    path = F.col(path) if isinstance(path, str) else path
+    return F.concat_ws("-", F.regexp_replace(last_part(path, "/"), "[^A-Za-z0-9_.-]", "_"), F.substring(F.md5(path), 1, 8))
+
+
 def list_chunks(chunks: DataFrame, ts: str, rows_per_group: int, groups_per_chunk: int = 10,
                 *by: str) -> DataFrame:
     """One row per chunk: its file name, time range and row count."""
@@ -50,7 +56,9 @@ def write_archive_chunks(
     group_limit: int | None = None,
     mode: str = "error",
 ) -> DataFrame:
-    """Write archives as ``year=/chunk=`` folders and return the list of chunks.
+    """Write archives as ``year=/archive=/chunk=`` folders and return the list of chunks.
+
+    The archive is part of a chunk's identity: two archives of one year keep their chunks apart.
 
     ``rows`` comes from :func:`orbitlens.sources.readers.read_archives`. Each chunk is one
     run of rows of one file, so rows go straight from the scan to the writer, without a
@@ -58,13 +66,16 @@ def write_archive_chunks(
     """
     chunks = chunk_rows(rows, rows_per_group, groups_per_chunk, group_limit)
     (
-        chunks.drop("archive", "row_index")
+        chunks.withColumn("archive", archive_name("archive")).drop("row_index")
         .write.mode(mode)
         .option("maxRecordsPerFile", rows_per_group * groups_per_chunk)
-        .partitionBy("year", "chunk")
+        .partitionBy("year", "archive", "chunk")
         .parquet(target)
     )
-    return list_chunks(chunks, ts, rows_per_group, groups_per_chunk)
+    written = chunks.sparkSession.read.parquet(target).groupBy("year", "archive", "chunk").agg(
+        F.min(ts).alias("start"), F.max(ts).alias("end"), F.count("*").alias("rows"))
+    stop = F.col("chunk") + F.ceil(F.col("rows") / rows_per_group).cast("int")
+    return written.withColumn("file_name", chunk_file_name("chunk", stop))
 
 
 def write_metrics(metrics: DataFrame, path: str, mode: str = "error") -> None:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -66,20 +67,15 @@ def score_requests(requests: DataFrame, features: list[str], scaler: dict[str, t
 def _score_lists(spark: SparkSession, weights: Weights):
     shared = spark.sparkContext.broadcast(weights)
 
-    @F.pandas_udf("array<double>")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<double>")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for requests in batches:
-            out = []
-            for vectors in requests:
-                if vectors is None:
-                    out.append(None)
-                elif len(vectors) == 0:
-                    out.append([])
-                else:
-                    x = np.array([[np.nan if e is None else e for e in v] for v in vectors], dtype=float)
-                    nll = infer_rows(shared.value, x)[-1]
-                    out.append([None if np.isnan(v) else float(v) for v in nll])
-            yield pd.Series(out, dtype=object)
+            vectors = requests.flatten()
+            flat = vectors.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
+            nll = infer_rows(shared.value, flat.reshape(len(vectors), -1))[-1] if len(vectors) else np.empty(0)
+            counts = pc.fill_null(pc.list_value_length(requests), 0).to_numpy()
+            offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+            yield pa.ListArray.from_arrays(offsets, pa.array(nll, pa.float64(), from_pandas=True), mask=requests.is_null())
 
     return score
 
@@ -97,7 +93,7 @@ def score_vectors(df: DataFrame, features: list[str], scaler: dict[str, tuple[fl
 
 def label_stream(telemetry: DataFrame, ts: str, periods: DataFrame, label: str) -> DataFrame:
     """Label a stream against the static periods (half-open), as the batch operator does."""
-    return mark_inside(telemetry, ts, periods, label, method="cells")
+    return mark_inside(telemetry, ts, periods, label)
 
 
 def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

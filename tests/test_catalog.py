@@ -3,10 +3,11 @@
 import pytest
 from compare import connect, difference
 
-from orbitlens.plans.catalog import QUERIES
-from orbitlens.plans.oracles import ORACLES
+from orbitlens.plans import catalog, oracles, roundtrips
 
 SF = "/root/testdata/sf0.001"
+QUERIES = catalog.QUERIES
+ORACLES = {**oracles.ORACLES, **roundtrips.ORACLES}
 
 
 @pytest.fixture(scope="module")

@@ -44,7 +44,7 @@ def test_odd_periods(spark, method):
     assert labels(got) == [0, 0, 1, 1, 1, 1, 1, 0, 1, 1, 1, 0]
 
 
-@pytest.mark.parametrize("method", ["auto", "scan"])
+@pytest.mark.parametrize("method", ["cells", "scan"])
 def test_no_periods(spark, method):
     got = iv.label_rows(frame(spark, [at(1), at(2)]), "ts", periods(spark, []), "label", method=method)
     assert labels(got) == [0, 0]
@@ -70,7 +70,7 @@ def test_merge_equals_sweep_line(spark, n):
     assert [[r["start"], r["end"]] for r in got] == want
 
 
-def test_methods_agree_on_random_rows(spark, monkeypatch):
+def test_methods_agree_on_random_rows(spark):
     rnd = random.Random(3)
     pairs = [(at(s), at(s + rnd.randrange(1, 30))) for s in (rnd.randrange(3000) for _ in range(60))]
     # a third of all rows on one timestamp
@@ -79,26 +79,29 @@ def test_methods_agree_on_random_rows(spark, monkeypatch):
     per = periods(spark, pairs)
     assert labels(iv.label_rows(df, "ts", per, "label")) == want
     assert labels(iv.label_rows(df, "ts", per, "label", method="scan", key=["key"], n_buckets=10)) == want
-    # beyond the broadcast bound, auto falls back to the scan
-    monkeypatch.setattr(iv, "MAX_BROADCAST_PERIODS", 5)
-    assert labels(iv.label_rows(df, "ts", per, "label", key=["key"], n_buckets=4)) == want
-    with pytest.raises(ValueError):
-        iv.label_rows(df, "ts", per, "label", method="cells")
-
-
-@pytest.mark.parametrize("entries", [1_000_000, 300])
-def test_dense_periods(spark, monkeypatch, entries):
-    """Many periods close together and one far away: narrower cells, or the scan."""
-    monkeypatch.setattr(iv, "MAX_CELL_ENTRIES", entries)
-    pairs = [(at(i * 2), at(i * 2 + 1)) for i in range(200)] + [(at(10**7), at(10**7 + 5))]
+
+
+def test_dense_next_to_very_long_periods(spark):
+    """Many periods close together, one far away, one of years and some of a microsecond."""
+    pairs = [(at(i * 2), at(i * 2 + 1)) for i in range(200)] + [(at(10**7), at(10**7 + 5)), (at(10**8), at(3 * 10**8))]
+    pairs += [(at(1000 + i), at(1000 + i) + US) for i in range(30)]
     per = periods(spark, pairs)
-    df = frame(spark, [at(i) for i in range(400)])
-    assert labels(iv.label_rows(df, "ts", per, "label")) == [1, 0] * 200
+    stamps = [at(i) for i in range(400)] + [at(10**7 + 4), at(10**7 + 5), at(2 * 10**8), at(3 * 10**8), at(1007), at(1007) + US]
+    assert labels(iv.label_rows(frame(spark, stamps), "ts", per, "label")) == [1, 0] * 200 + [1, 0, 1, 0, 1, 0]
+
+
+def test_mask_of_very_many_positives(spark):
+    """More than 100,000 labelled rows, a third of them on one timestamp, with keys as the pipeline hands them on."""
+    rows = spark.range(150_000).select(
+        F.timestamp_seconds(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") * 100)).alias("ts"), F.col("id").alias("key"))
+    df = rows.withColumn("label", F.lit(1)).union(
+        spark.range(1000).select(F.timestamp_seconds(F.col("id") * 15_000 + 50), F.col("id") + 200_000, F.lit(0)))
+    got = iv.mark_near(df, "ts", F.col("label") == 1, dt.timedelta(seconds=10), "near", key=["key"], rows_per_bucket=20_000)
+    counts = {(r["label"], r["near"]): r["count"] for r in got.groupBy("label", "near").count().collect()}
+    assert counts == {(1, 1): 150_000, (0, 0): 1000}
 
 
-@pytest.mark.parametrize("bound", [100_000, 3])
-def test_window_is_closed(spark, monkeypatch, bound):
-    monkeypatch.setattr(iv, "MAX_BROADCAST_PERIODS", bound)
+def test_window_is_closed(spark):
     stamps = [at(100), at(90), at(110), at(90) - US, at(110) + US, at(300), at(105), at(117), at(500), at(501)]
     label = [1, 0, 0, 0, 0, 0, 1, 0, 1, 1]
     got = iv.mark_near(frame(spark, stamps, label), "ts", F.col("label") == 1, dt.timedelta(seconds=10), "near")

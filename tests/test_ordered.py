@@ -125,25 +125,28 @@ def test_no_single_partition_exchange_on_rows(rows):
     assert "SinglePartition" not in plan and BUCKET in plan
 
 
-@pytest.mark.parametrize("shape", ["few", "even", "clustered", "far"])
-def test_position_equals_bisect(spark, shape):
+@pytest.mark.parametrize("shape", ["few", "ties", "far"])
+def test_bucket_equals_bisect(spark, shape):
     from bisect import bisect_right
 
-    from orbitlens.operators.ordered import _cells, _position
+    from orbitlens.operators.ordered import _bucket_of
 
     rnd = random.Random(1)
-    values = {
-        "few": [-5, 0, 7],
-        "even": sorted(rnd.sample(range(-10_000, 10_000), 300)),
-        "clustered": [*range(200), 10**12, 10**15],
-        "far": sorted(rnd.sample(range(1_700_000_000_000_000, 1_700_000_900_000_000), 500)),
+    cuts = {
+        "few": [(-5, "a"), (0, "b"), (7, "a")],
+        "ties": sorted((rnd.randrange(5), f"t{rnd.randrange(10**4):05d}") for _ in range(300)),
+        "far": sorted({(rnd.randrange(10**15), "m") for _ in range(5000)}),
     }[shape]
-    assert (_cells(values) is None) == (shape == "clustered")
-    probes = sorted({v + d for v in values for d in (-1, 0, 1)} | {values[0] - 10**6, values[-1] + 10**6})
-    df = spark.createDataFrame([(p,) for p in probes], "x bigint")
-    got = {r[0]: r[1] for r in df.select("x", _position(F.col("x"), "bigint", values)).collect()}
-    assert got == {p: bisect_right(values, p) for p in probes}
-    texts = sorted(f"t{v:05d}" for v in range(0, 400, 3))
-    words = spark.createDataFrame([(f"t{v:05d}",) for v in range(-1, 401)], "x string")
-    got = {r[0]: r[1] for r in words.select("x", _position(F.col("x"), "string", texts)).collect()}
-    assert got == {w: bisect_right(texts, w) for w in got}
+    probes = sorted({(v + d, t + e) for v, t in cuts[:400] for d in (-1, 0, 1) for e in ("", "x")})
+    df = spark.createDataFrame(probes, "x bigint, y string")
+    bucket = _bucket_of([(F.col("x"), "bigint"), (F.col("y"), "string")], cuts)
+    got = {(r[0], r[1]): r[2] for r in df.select("x", "y", bucket).collect()}
+    assert got == {p: bisect_right(cuts, p) for p in probes}
+
+
+def test_very_many_buckets_over_repeated_leading_values(spark):
+    rows = spark.range(40_000).select((F.col("id") % 1500).alias("user"), F.col("id").alias("key"))
+    frame = order_frame(rows, ["user", "key"], n_buckets=4096)
+    assert frame.n_buckets == 4096
+    sizes = frame.df.groupBy(BUCKET).count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[0] < 200 and sizes[1] > 3500
