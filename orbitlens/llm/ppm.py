@@ -14,7 +14,7 @@ its bytes and an end symbol; contexts reach back over the start of a text into s
 
 The probability of a symbol is thus a function of its context and itself, an (order + 1)-gram. It
 is computed by joins for every distinct gram of the corpus. Scoring looks up the most frequent
-grams (at most ``HEAD`` of them) in a broadcast table and sends the rest, a row per document and
+grams (at most ``HEAD`` of them, none rarer than ``RARE``) in a broadcast table and sends the rest, a row per document and
 gram, to a join. So the trie may be of any size; only the head is of fixed size.
 
 The unigram base score counts words in the same passes and uses the same split of head and tail.
@@ -42,6 +42,8 @@ DEPTH = 5
 START, END = 0xFE, 0xFF  # bytes that UTF-8 does not use
 SYMBOLS = 256
 HEAD = 1 << 21
+#: grams and words seen less often than this are looked up by joins at every corpus size
+RARE = 4
 #: distinct grams and words a task gathers before it passes them on
 GATHER = 1 << 21
 GRAM, WORD = 0, 1
@@ -172,12 +174,13 @@ def gram_scores(counts: DataFrame, depth: int) -> DataFrame:
 
 
 def split_head(scored: DataFrame, head: int) -> tuple[tuple[np.ndarray, np.ndarray], DataFrame]:
-    """The most frequent keys (sorted, at most ``head``) with their values, and the others as (key, value)."""
+    """The keys seen RARE times or more, the most frequent ``head`` at most, sorted, with their values; the others as
+    (key, value)."""
     power = F.floor(F.log2(F.col("seen").cast("double"))).cast("int")
     sizes = {r["power"]: r["n"] for r in scored.groupBy(power.alias("power")).agg(F.count("*").alias("n")).collect()}
     least, total = 1 << 62, 0
     for p in sorted(sizes, reverse=True):
-        if total + sizes[p] > head:
+        if total + sizes[p] > head or 1 << p < RARE:
             break
         least, total = 1 << p, total + sizes[p]
     got = scored.where(F.col("seen") >= least).select("key", "value").toArrow()
