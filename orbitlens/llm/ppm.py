@@ -38,14 +38,14 @@ from pyspark.sql import functions as F
 from orbitlens.llm import textops as tx
 from orbitlens.session import materialize
 
-DEPTH = 5
+DEPTH = 6
 START, END = 0xFE, 0xFF  # bytes that UTF-8 does not use
 SYMBOLS = 256
 HEAD = 1 << 21
 #: grams and words seen less often than this are looked up by joins at every corpus size
 RARE = 4
 #: distinct grams and words a task gathers before it passes them on
-GATHER = 1 << 21
+GATHER = 1 << 20
 GRAM, WORD = 0, 1
 
 

@@ -54,7 +54,7 @@ def loss_spans(turns: Column, trained: str = TRAINED) -> Column:
 def common_turns(a: Column, b: Column) -> Column:
     """Length of the longest common prefix."""
     first = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False)
-    return F.coalesce(F.when(first > 0, first - 1).otherwise(F.size(a)), F.lit(0)).cast("int")
+    return F.when(first.isNull(), 0).when(first > 0, first - 1).otherwise(F.size(a)).cast("int")
 
 
 def format_preferences(chosen: DataFrame, rejected: DataFrame, pair: str = "pair_id", turn: str = "turn",
