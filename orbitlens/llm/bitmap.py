@@ -1,8 +1,9 @@
 """A membership filter of fixed size over 64-bit hashes, built on Spark.
 
-It holds 2**26 bits (8 MB), whatever the number of hashes, so it may always be broadcast. It
-never misses a hash it was built from; others pass with a small chance, which grows with the
-number of hashes, so every use confirms afterwards. The driver gets at most 2**20 words.
+A Bloom filter of 2**26 bits (8 MB), whatever the number of hashes, so it may always be broadcast;
+a hash sets three bits, taken from its own bits. It never misses a hash it was built from; others
+pass with a chance that grows with the number of hashes, so every use confirms afterwards. The
+driver gets at most 2**20 words.
 """
 
 from __future__ import annotations
@@ -12,23 +13,29 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WORD_BITS = 20
+BITS = 26
+MASK = (1 << BITS) - 1
 
 
 def build(df: DataFrame, column: str) -> Broadcast:
     """The filter of a long column, as a broadcast array of 2**20 words."""
     h = F.col(column)
-    rows = (df.where(h.isNotNull())
-            .select(F.shiftrightunsigned(h, 64 - WORD_BITS).alias("at"), h.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+    low = h.bitwiseAND(F.lit(0xFFF))
+    places = F.array(F.shiftrightunsigned(h, 38), F.shiftrightunsigned(h, 12).bitwiseAND(F.lit(MASK)),
+                     F.shiftleft(low, 14).bitwiseOR(F.shiftrightunsigned(h, 50)))
+    rows = (df.where(h.isNotNull()).select(F.explode(places).alias("p"))
+            .select(F.shiftright("p", 6).alias("at"), F.col("p").bitwiseAND(F.lit(63)).cast("int").alias("bit"))
             .groupBy("at").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("word")))
     got = rows.toArrow()
-    words = np.zeros(1 << WORD_BITS, np.int64)
+    words = np.zeros(1 << (BITS - 6), np.int64)
     words[got["at"].to_numpy()] = got["word"].to_numpy()
     return df.sparkSession.sparkContext.broadcast(words.view(np.uint64))
 
 
 def contains(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which uint64 hashes may be members."""
-    if not len(hashes):
-        return np.zeros(0, bool)
-    return (words[hashes >> np.uint64(64 - WORD_BITS)] >> (hashes & np.uint64(63))) & np.uint64(1) == 1
+    ok = np.ones(len(hashes), bool)
+    for place in (hashes >> np.uint64(38), (hashes >> np.uint64(12)) & np.uint64(MASK),
+                  ((hashes & np.uint64(0xFFF)) << np.uint64(14)) | (hashes >> np.uint64(50))):
+        ok &= (words[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+    return ok

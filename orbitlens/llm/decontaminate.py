@@ -128,6 +128,7 @@ def text_key(text: Column) -> list[Column]:
 
 
 KEY = ["key1", "key2"]
+ADDED = (*KEY, "n_words", "found", "spans", "n_hit", "items", "contaminated")
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
@@ -146,7 +147,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id
     bits = bitmap.build(items, "fp")
 
     whole = F.col(text)
-    others = [F.col(f"`{c}`") for c in docs.columns if c not in (text, "text", "n_words", "found", *KEY)]
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (text, "text", *ADDED)]
     slim = docs.select(*others, *text_key(whole), whole.alias("text"))
     base = materialize(_scanned(slim, window, k, lengths, bits), "candidates")
     found = base.where(F.size("found") > 0).select(*KEY, F.explode("found").alias("f")).select(*KEY, "f.*")

@@ -12,8 +12,8 @@ with a smaller doc_id. Removed words are those that a removed window covers.
    within tasks before they move, so a window that a third of all documents hold is no hot key.
 4. Passages. Owners' recurring windows are joined to the longest passages, cut into overlapping
    pieces of ``PIECE`` windows.
-5. Automata. Documents with a recurring window are dealt into blocks of a few megabytes; the others
-   stay where they are. A block gets the pieces of which it holds a window, compiles their anchor
+5. Automata. Documents that hold a window owned by another are dealt into blocks of a few megabytes;
+   the others stay where they are. A block gets the pieces of which it holds a window, compiles their anchor
    phrases into one Aho-Corasick automaton, and streams its documents through it. Where a phrase
    occurs, the windows around are looked up among the pieces' windows. So a text passes one
    automaton, and an automaton is never larger than what its block can match.
@@ -246,7 +246,7 @@ class Automaton:
         return np.cumsum(gone)[:-1] > 0
 
 
-def _cleaned(table: pa.Table, text: str, drop: list[str], parts: Iterator[tuple[Parsed, np.ndarray, np.ndarray]]) -> pa.Table:
+def _cleaned(table: pa.Table, drop: list[str], parts: Iterator[tuple[Parsed, np.ndarray, np.ndarray]]) -> pa.Table:
     """The table with n_words, n_removed, kept_words and cut_text from (parsed slice, its bounds, removed words)."""
     n_words, n_removed, kept, cut = [], [], [], []
     for p, bounds, gone in parts:
@@ -285,24 +285,20 @@ def _clean(window: int, k: int):
                 p = Parsed(data, bounds, window, k)
                 yield p, bounds, machine.removed(p, ids[lo:hi])
 
-        return _cleaned(docs, "text", EXTRA, parts())
+        return _cleaned(docs, EXTRA, parts())
 
     return run
 
 
-def _untouched(window: int, k: int, copies, bits, yes: bool):
-    """Documents without a recurring window, as they are; or the others, for their blocks."""
+def _touched(window: int, k: int, copies, bits, yes: bool):
+    """Documents that may lose words, for their blocks; or the others, with their results."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _single(batches, copies):
-            for lo, hi, data, bounds in tx.slices(batch.column("text")):
-                p = Parsed(data, bounds, window, k)
-                hit = np.zeros(hi - lo, bool)
-                hit[p.owner[bitmap.contains(bits.value, p.windows())]] = True
-                rows = pa.Table.from_batches([batch.slice(lo, hi - lo)]).filter(pa.array(hit if yes else ~hit))
-                if yes:
-                    yield from rows.to_batches()
-                else:
-                    yield from _cleaned(rows, "text", EXTRA, _unchanged(rows["text"], window, k)).to_batches()
+            hit = bitmap.contains(bits.value, batch.column("__hash").to_numpy().view(np.uint64))
+            rows = pa.Table.from_batches([batch.filter(pa.array(hit if yes else ~hit))]).drop_columns(["__hash"])
+            if not yes:
+                rows = _cleaned(rows, EXTRA, _unchanged(rows["text"], window, k))
+            yield from rows.to_batches()
 
     return run
 
@@ -319,7 +315,7 @@ def _copies_gone(window: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            yield from _cleaned(table, "text", EXTRA, _unchanged(table["text"], window, k, all_of=True)).to_batches()
+            yield from _cleaned(table, EXTRA, _unchanged(table["text"], window, k, all_of=True)).to_batches()
 
     return run
 
@@ -337,7 +333,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     n_blocks = max(math.ceil(total / BLOCK_BYTES), 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     key1, key2 = (c.alias(f"__{n}") for c, n in zip(text_key(F.col(text)), ("key1", "key2")))
-    block = F.pmod(F.xxhash64(number, F.col(text)), F.lit(n_blocks)).cast("long").alias("__block")
+    dealt = lambda doc: F.pmod(F.xxhash64(doc), F.lit(n_blocks)).cast("long")
+    block = dealt(number).alias("__block")
     whole = docs.select("*", number.alias("__doc"), key1, key2, block).withColumnRenamed(text, "text")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in whole.schema.fields)
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in whole.drop(*EXTRA).schema.fields)
@@ -367,11 +364,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
 
     known = passages.mapInArrow(_windows_of(window, k, ["owner", "start"]), "window bigint, owner bigint, start bigint")
     bits = bitmap.build(owned.select(F.explode("windows").alias("window")), "window")
-    held = (stream.select("__block", "__key1", "text")
-            .mapInArrow(_windows_of(window, k, ["__block"], copies, bits), "window bigint, __block bigint").distinct())
-    needed = (held.join(known, "window").select("__block", "owner", "start").distinct()
-              .join(passages, ["owner", "start"]).select(F.col("__block").alias("block"), "owner", "text"))
-    same = stream.mapInArrow(_untouched(window, k, copies, bits, False), out)
-    touched = stream.mapInArrow(_untouched(window, k, copies, bits, True), kinds)
+    held = slim.mapInArrow(_windows_of(window, k, ["__doc"], copies, bits), "window bigint, __doc bigint")
+    matches = materialize(held.join(known, "window").where(F.col("owner") < F.col("__doc"))
+                          .select("__doc", "owner", "start").distinct(), "matches")
+    needed = (matches.select(dealt(F.col("__doc")).alias("block"), "owner", "start").distinct()
+              .join(passages, ["owner", "start"]).select("block", "owner", "text"))
+    changed = bitmap.build(matches.select(F.xxhash64("__doc").alias("hash")), "hash")
+    hashed = stream.withColumn("__hash", F.xxhash64("__doc"))
+    same = hashed.mapInArrow(_touched(window, k, copies, changed, False), out)
+    touched = hashed.mapInArrow(_touched(window, k, copies, changed, True), kinds)
     cleaned = touched.groupBy("__block").cogroup(needed.groupBy("block")).applyInArrow(_clean(window, k), out)
     return same.union(cleaned).union(later_copies).withColumnRenamed("text", text)

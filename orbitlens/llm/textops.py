@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,15 +50,11 @@ _BYTE = constants(256, 11)
 _STEP = int(constants(1, 12)[0])
 
 
-@lru_cache(maxsize=2)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """step**i and its inverse for i < size, modulo 2**64."""
-    out = []
-    for step in (_STEP, pow(_STEP, -1, 1 << 64)):
-        p = np.full(size, step, np.uint64)
-        p[0] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
+def _powers(step: int, size: int) -> np.ndarray:
+    """step**i for i < size, modulo 2**64, as products of two short tables."""
+    low, high = np.full(1 << 12, step, np.uint64), np.full((size >> 12) + 1, pow(step, 1 << 12, 1 << 64), np.uint64)
+    low[0] = high[0] = 1
+    return np.multiply.outer(np.multiply.accumulate(high), np.multiply.accumulate(low)).reshape(-1)[:size]
 
 
 @dataclass
@@ -82,10 +77,10 @@ class Words:
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word."""
         n = len(self.data)
-        power, inverse = _powers(max(SLICE_BYTES + (1 << 20), 1 << int(n + 1).bit_length()) if n > SLICE_BYTES else SLICE_BYTES + (1 << 20))
         total = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[self.data] * power[:n], out=total[1:])
-        return mix((total[self.ends] - total[self.starts]) * inverse[self.starts] + (self.ends - self.starts).astype(np.uint64))
+        np.cumsum(_BYTE[self.data] * _powers(_STEP, n), out=total[1:])
+        back = _powers(pow(_STEP, -1, 1 << 64), n + 1)[self.starts]
+        return mix((total[self.ends] - total[self.starts]) * back + (self.ends - self.starts).astype(np.uint64))
 
     def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """First words of all windows of k words inside one document, and their documents."""
