@@ -48,6 +48,8 @@ WINDOW = 13
 PHRASE = 6
 PIECE = 64
 BLOCK_BYTES = 4 << 20
+#: smaller slices than elsewhere: several passes share an executor's memory
+SLICE = 1 << 20
 LAST = (1 << 63) - 1
 
 
@@ -93,6 +95,7 @@ def _suspected(batch: pa.RecordBatch, bits) -> np.ndarray:
 def _single(batches: Iterator[pa.RecordBatch], bits) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         yield batch.filter(pa.array(~_suspected(batch, bits)))
+        pa.default_memory_pool().release_unused()
 
 
 def _only_suspected(bits):
@@ -106,7 +109,7 @@ def _only_suspected(bits):
 def _count_anchors(window: int, k: int, copies):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _single(batches, copies):
-            for _, _, data, bounds in tx.slices(batch.column("text")):
+            for _, _, data, bounds in tx.slices(batch.column("text"), SLICE):
                 _, anchors = Parsed(data, bounds, window, k).anchors()
                 values, counts = np.unique(anchors, return_counts=True)
                 yield _arrow(["anchor", "n"], [tx.signed(values), counts.astype(np.int64)])
@@ -118,7 +121,7 @@ def _recurring_windows(window: int, k: int, copies, bits):
     """Windows with a recurring anchor, with the least and largest doc_id of the slice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _single(batches, copies):
-            for lo, hi, data, bounds in tx.slices(batch.column("text")):
+            for lo, hi, data, bounds in tx.slices(batch.column("text"), SLICE):
                 p = Parsed(data, bounds, window, k)
                 where, anchors = p.anchors()
                 at = p.near(where[bitmap.contains(bits.value, anchors)])
@@ -152,7 +155,7 @@ def _passages(window: int, k: int):
         for batch in batches:
             owners, starts, texts = [], [], []
             mine = batch.column("windows")
-            for lo, hi, data, bounds in tx.slices(batch.column("text")):
+            for lo, hi, data, bounds in tx.slices(batch.column("text"), SLICE):
                 p = Parsed(data, bounds, window, k)
                 h, w = p.windows(), p.words
                 cut = np.searchsorted(p.owner, np.arange(hi - lo + 1))
@@ -180,7 +183,7 @@ def _windows_of(window: int, k: int, columns: list[str], copies=None, bits=None)
     """Distinct (window, columns) of each slice; with a bitmap only the windows it lets through."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches if copies is None else _single(batches, copies):
-            for lo, hi, data, bounds in tx.slices(batch.column("text")):
+            for lo, hi, data, bounds in tx.slices(batch.column("text"), SLICE):
                 p = Parsed(data, bounds, window, k)
                 h, rows = p.windows(), p.owner
                 if bits is not None:
@@ -205,7 +208,7 @@ class Automaton:
         self.window, self.k = window, k
         self.machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         hashes, whose = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-        for lo, _, data, bounds in tx.slices(texts):
+        for lo, _, data, bounds in tx.slices(texts, SLICE):
             p = Parsed(data, bounds, window, k)
             w = p.words
             for at in p.anchors()[0].tolist():
@@ -281,7 +284,7 @@ def _clean(window: int, k: int):
         ids = docs["__doc"].to_numpy()
 
         def parts():
-            for lo, hi, data, bounds in tx.slices(docs["text"]):
+            for lo, hi, data, bounds in tx.slices(docs["text"], SLICE):
                 p = Parsed(data, bounds, window, k)
                 yield p, bounds, machine.removed(p, ids[lo:hi])
 
@@ -305,7 +308,7 @@ def _touched(window: int, k: int, copies, bits, yes: bool):
 
 def _unchanged(texts: pa.ChunkedArray, window: int, k: int, all_of: bool = False):
     """Parsed slices of which no word is removed; or all words of texts that have a window."""
-    for _, _, data, bounds in tx.slices(texts):
+    for _, _, data, bounds in tx.slices(texts, SLICE):
         p = Parsed(data, bounds, window, k)
         gone = np.repeat(p.words.counts >= window, p.words.counts) if all_of else np.zeros(len(p.hashes), bool)
         yield p, bounds, gone
