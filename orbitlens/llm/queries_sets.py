@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbitlens.llm import merkle
+from orbitlens.llm import merkle, whitening
 from orbitlens.llm.queries_native import table
 
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
@@ -20,5 +20,15 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.prove(merkle.build(docs, FIELDS, carried={"tampered": tampered}), "tampered")
 
 
-QUERIES = {"op13_merkle": op13_merkle}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per vector and component."""
+    rows, model = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    error = whitening.identity_error(rows)
+    shares = (model.values[:whitening.COMPONENTS] / model.trace).tolist() if model else [0.0]
+    return rows.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.rows if model else 0).cast("bigint").alias("n"),
+        "deviation", "whitened", F.get(F.lit(shares), F.col("at")).alias("explained"), F.lit(error).alias("identity_error"))
+
+
+QUERIES = {"op11_whitening": op11_whitening, "op13_merkle": op13_merkle}
 ORACLES: dict[str, str] = {}
