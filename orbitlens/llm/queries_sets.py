@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbitlens.llm import merkle, whitening
+from orbitlens.llm import merkle, personal_data, whitening
 from orbitlens.llm.queries_native import table
 
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
@@ -30,5 +30,17 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         "deviation", "whitened", F.get(F.lit(shares), F.col("at")).alias("explained"), F.lit(error).alias("identity_error"))
 
 
-QUERIES = {"op11_whitening": op11_whitening, "op13_merkle": op13_merkle}
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts are those of the base patterns; spans are theirs and those the trees add."""
+    found = personal_data.find(table(spark, sf_dir, "documents").select("doc_id", "text"), kept=["doc_id"])
+
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+
+    counts = [count(kind).alias(f"n_{name}") for kind, name in enumerate(personal_data.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(personal_data.listed("base"), 256).alias("base_sha256"),
+                        personal_data.listed("spans").alias("spans"))
+
+
+QUERIES = {"op12_personal_data": op12_personal_data, "op11_whitening": op11_whitening, "op13_merkle": op13_merkle}
 ORACLES: dict[str, str] = {}
