@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from orbitlens.functions.scalars import micros, plus
+from orbitlens.operators import period_index
 from orbitlens.operators.ordered import order_frame, scan
 from orbitlens.session import materialize
 
@@ -46,8 +47,7 @@ def merge_periods(
 
 def windows_around(rows: DataFrame, ts: str, width: timedelta, **options) -> DataFrame:
     """Disjoint closed windows ``[t - width, t + width]`` around every ``ts`` of ``rows``."""
-    points = rows.select(F.col(ts).alias("start"), F.col(ts).alias("end"))
-    merged = merge_periods(points, gap=2 * width, closed=True, **options)
+    merged = merge_periods(period_index.stretches(rows, ts, width), gap=2 * width, closed=True, **options)
     return merged.select(plus("start", -width).alias("start"), plus("end", width).alias("end"))
 
 
@@ -58,19 +58,25 @@ def mark_inside(
     out: str,
     closed: bool = False,
     disjoint: bool = False,
-    method: str = "cells",
+    method: str = "index",
     key: list[str] | tuple[str, ...] = (),
     **options,
 ) -> DataFrame:
     """1 for rows inside any period (half-open, or closed), else 0.
 
+    ``index``: up to a million periods are broadcast as sorted arrays and searched in Arrow batches,
+    without moving a row; more of them go by ``scan``, or for a stream by ``cells``.
+    ``scan``: one ordered pass over rows and period starts, with one exchange of the rows; a row is
+    inside when the largest end seen so far lies beyond it. ``key`` splits rows that share one
+    timestamp in that pass.
     ``cells``: a disjoint period of length l gets the least level k with 2**k >= l and touches at
-    most two of the cells of width 2**k, so periods of any number, density or length make at most
-    two entries each. Rows are joined on their cell once for each level in use (at most 64); the
-    engine chooses between broadcast and shuffle by the size of a level. Streams may be marked.
-    ``scan``: one ordered pass over rows and period starts; a row is inside when the largest end
-    seen so far lies beyond it. ``key`` splits rows that share one timestamp in that pass.
+    most two of the cells of width 2**k. Rows are joined on their cell once for each level in use.
     """
+    if method == "index":
+        index = period_index.build(periods, closed=closed)
+        if index is not None:
+            return _mark_by_index(df, ts, index, out)
+        method = "cells" if df.isStreaming else "scan"
     if method not in ("cells", "scan"):
         raise ValueError(f"unknown method {method!r}")
     if method == "scan":
@@ -80,6 +86,10 @@ def mark_inside(
     return _mark_by_cells(df, ts, periods, out, closed)
 
 
+def _mark_by_index(df: DataFrame, ts: str, index: period_index.PeriodIndex, out: str) -> DataFrame:
+    return df.select(*[F.col(c) for c in df.columns if c != out], index.column(df.sparkSession, ts).alias(out))
+
+
 def _mark_by_cells(df: DataFrame, ts: str, periods: DataFrame, out: str, closed: bool) -> DataFrame:
     start, end = micros("start"), micros("end")
     last = end if closed else end - 1
@@ -128,10 +138,16 @@ def label_rows(
 
 def mark_near(
     df: DataFrame, ts: str, positive: Column, width: timedelta, out: str = "is_test",
-    key: list[str] | tuple[str, ...] = (), method: str = "cells", **options
+    key: list[str] | tuple[str, ...] = (), method: str = "index", **options
 ) -> DataFrame:
     """1 for rows at most ``width`` away from a row where ``positive`` holds (both ends in)."""
-    windows = materialize(windows_around(df.filter(positive), ts, width, **options), "windows")
+    rows = df.filter(positive)
+    if method == "index":
+        index = period_index.build(period_index.stretches(rows, ts, width), gap=2 * width, closed=True)
+        if index is not None:
+            return _mark_by_index(df, ts, index.widened(width), out)
+        method = "scan"
+    windows = materialize(windows_around(rows, ts, width, **options), "windows")
     return mark_inside(df, ts, windows, out, closed=True, disjoint=True, method=method, key=key, **options)
 
 

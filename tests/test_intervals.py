@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orbitlens.operators import intervals as iv
+from orbitlens.operators import period_index
 
 BASE = dt.datetime(2024, 1, 1)
 US = dt.timedelta(microseconds=1)
@@ -27,14 +28,14 @@ def labels(df):
     return [r["label"] for r in df.orderBy("key").collect()]
 
 
-@pytest.mark.parametrize("method", ["cells", "scan"])
+@pytest.mark.parametrize("method", ["index", "cells", "scan"])
 def test_half_open_bounds(spark, method):
     df = frame(spark, [at(0), at(10), at(10) - US, at(0) - US])
     got = iv.label_rows(df, "ts", periods(spark, [(at(0), at(10))]), "label", method=method)
     assert labels(got) == [1, 0, 1, 0]
 
 
-@pytest.mark.parametrize("method", ["cells", "scan"])
+@pytest.mark.parametrize("method", ["index", "cells", "scan"])
 def test_odd_periods(spark, method):
     """Null ends, reversed, empty, overlapping, touching, nested."""
     pairs = [(at(0), None), (at(9), at(3)), (at(5), at(5)), (at(20), at(30)), (at(25), at(35)), (at(35), at(40)),
@@ -44,7 +45,7 @@ def test_odd_periods(spark, method):
     assert labels(got) == [0, 0, 1, 1, 1, 1, 1, 0, 1, 1, 1, 0]
 
 
-@pytest.mark.parametrize("method", ["cells", "scan"])
+@pytest.mark.parametrize("method", ["index", "cells", "scan"])
 def test_no_periods(spark, method):
     got = iv.label_rows(frame(spark, [at(1), at(2)]), "ts", periods(spark, []), "label", method=method)
     assert labels(got) == [0, 0]
@@ -52,7 +53,7 @@ def test_no_periods(spark, method):
 
 def test_null_timestamp_is_outside(spark):
     df = spark.createDataFrame([(None, 0), (at(1), 1)], "ts timestamp_ntz, key int")
-    for method in ("cells", "scan"):
+    for method in ("index", "cells", "scan"):
         assert labels(iv.label_rows(df, "ts", periods(spark, [(at(0), at(5))]), "label", method=method)) == [0, 1]
 
 
@@ -142,3 +143,41 @@ def test_closed_end_counts_as_hit(spark):
     df = frame(spark, [at(i) for i in range(5)], [0, 1, 1, 0, 0]).withColumn("hit", (F.col("key") == 3).cast("int"))
     got = iv.spread_hits(df, "ts", ["key"], "label", "hit", "event").orderBy("key").collect()
     assert [r["event"] for r in got] == [0, 1, 1, 1, 0]
+
+
+def test_index_beyond_its_limit_goes_another_way(spark, monkeypatch):
+    rng = random.Random(8)
+    pairs = [(at(a), at(a + rng.randrange(0, 40))) for a in rng.sample(range(3000), 300)]
+    df = frame(spark, [at(rng.randrange(3100)) for _ in range(500)])
+    want = labels(iv.label_rows(df, "ts", periods(spark, pairs), "label"))
+    small = period_index.build
+    monkeypatch.setattr(period_index, "build", lambda p, **kw: small(p, **{**kw, "limit": 20}))
+    assert small(periods(spark, pairs), limit=20) is None
+    assert labels(iv.label_rows(df, "ts", periods(spark, pairs), "label", key=["key"])) == want
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 3])
+def test_windows_from_stretches_equal_all_pairs(spark, monkeypatch, limit):
+    rng = random.Random(limit)
+    stamps = sorted(rng.randrange(2000) for _ in range(600))
+    marks = [int(rng.random() < 0.03) for _ in stamps]
+    width = 7
+    hits = [t for t, m in zip(stamps, marks) if m]
+    want = [int(any(abs(t - h) <= width for h in hits)) for t in stamps]
+    small = period_index.build
+    monkeypatch.setattr(period_index, "build", lambda p, **kw: small(p, **{**kw, "limit": limit}))
+    df = frame(spark, [at(t) for t in stamps], marks).withColumnRenamed("label0", "label")
+    got = iv.mark_near(df.toDF("ts", "key", "hit"), "ts", F.col("hit") == 1, dt.timedelta(seconds=width), "label", key=["key"])
+    assert labels(got) == want
+
+
+def test_index_against_all_pairs():
+    rng = random.Random(2)
+    for closed in (False, True):
+        pairs = [(a, a + rng.randrange(-3, 30)) for a in (rng.randrange(-500, 500) for _ in range(60))]
+        starts, ends = (period_index.np.array(x, period_index.np.int64) for x in zip(*pairs))
+        index = period_index.merged(starts, ends, dt.timedelta(0), closed)
+        stamps = list(range(-510, 540))
+        want = [int(any(a <= t and (t <= b if closed else t < b) and (a <= b) for a, b in pairs)) for t in stamps]
+        assert index.inside(period_index.np.array(stamps)).tolist() == want
+        assert (index.starts[1:] > index.ends[:-1]).all()
