@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from orbitlens.llm import textops as tx
-from orbitlens.llm.tokenize import Vocabulary, encode
+from orbitlens.llm.tokenize import Vocabulary, encode, id_type
 from orbitlens.session import materialize
 
 CAPACITY = 1024
@@ -232,8 +232,9 @@ def pack_matrices(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_I
 
     Full windows become rows where they are; only rests move, to the task of their sequence. Cases as in ``pack``.
     """
+    vocabulary = vocabulary or Vocabulary.byte_bpe_50k()
     pieces = cut_documents(docs, capacity, end_id, doc_id, text, vocabulary, with_ids=True).drop("doc_id", "start", "ids_crc32", "doc_tokens")
-    width = 2
+    width = np.dtype(id_type(vocabulary)).itemsize
     placed = assign(pieces, capacity)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

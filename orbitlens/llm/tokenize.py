@@ -10,7 +10,9 @@ newer) are left to the tokenizer itself, as libraries may disagree on them.
 from __future__ import annotations
 
 import base64
+import json
 import os
+import re
 import unicodedata
 from dataclasses import dataclass
 from functools import lru_cache
@@ -19,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 
 LETTER, NUMBER, SPACE, OTHER, UNSURE = 0, 1, 2, 3, 4
+#: bytes of a piece that the fast encoder gets at most
+LONG = 1000
 _WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
 
@@ -45,25 +49,50 @@ class Vocabulary:
 
     ranks: str
     pattern: str
+    tokenizer: str
 
     @staticmethod
     def byte_bpe_50k() -> Vocabulary:
         import public_tokenizers
 
-        return Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+        return Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+                          public_tokenizers.path("byte_bpe_50k.json"))
 
 
 @lru_cache(maxsize=2)
 def encoder(vocabulary: Vocabulary):
-    """The encoder of a vocabulary; texts of special tokens are ordinary text."""
+    """The fast encoder of short pieces."""
     import tiktoken
 
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     with open(vocabulary.ranks, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     return tiktoken.Encoding("public", pat_str=vocabulary.pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+@lru_cache(maxsize=2)
+def reference(vocabulary: Vocabulary):
+    """The tokenizer as loaded from its file."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(vocabulary.tokenizer)
+
+
+@lru_cache(maxsize=2)
+def added_tokens(vocabulary: Vocabulary) -> dict[bytes, int]:
+    """Texts of added tokens and their ids; tokens that take in what is around them are not supported."""
+    with open(vocabulary.tokenizer, encoding="utf-8") as f:
+        listed = json.load(f)["added_tokens"]
+    if any(t[flag] for t in listed for flag in ("lstrip", "rstrip", "single_word", "normalized")):
+        raise ValueError(f"{vocabulary.tokenizer} has added tokens that change the text around them")
+    return {t["content"].encode(): t["id"] for t in listed}
+
+
+def id_type(vocabulary: Vocabulary) -> type:
+    """The narrowest of 16 and 32 bits that holds all ids."""
+    return np.uint16 if reference(vocabulary).get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
+
+
 def _contractions(text: np.ndarray, kinds: np.ndarray, first: np.ndarray, start: np.ndarray, bound: np.ndarray) -> None:
     """An apostrophe at the start of a piece takes s, t, m, d, re, ve or ll behind it."""
     n = len(text)
@@ -109,10 +138,42 @@ def piece_bounds(text: np.ndarray, first: np.ndarray, table: np.ndarray) -> np.n
     return np.flatnonzero(bound)
 
 
+def _added(data: np.ndarray, bounds: np.ndarray, tokens: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, id) of the added tokens inside one document each, leftmost and longest first."""
+    found = []
+    if tokens:
+        text = data.tobytes()
+        if any(t in text for t in tokens):
+            pattern = re.compile(b"|".join(re.escape(t) for t in sorted(tokens, key=len, reverse=True)))
+            for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                found += [(m.start(), m.end(), tokens[m.group()]) for m in pattern.finditer(text, lo, hi)]
+    columns = np.array(found, np.int64).reshape(-1, 3)
+    return columns[:, 0], columns[:, 1], columns[:, 2]
+
+
 def encode(data: np.ndarray, bounds: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """(ids as uint16 or uint32, id bounds of the documents) of a slice of UTF-8 texts."""
-    enc = encoder(vocabulary)
-    kind = np.uint16 if enc.n_vocab <= 1 << 16 else np.uint32
+    at, end, token = _added(data, bounds, added_tokens(vocabulary))
+    if not len(at):
+        return _encode_plain(data, bounds, vocabulary)
+    # the parts before, between and after added tokens, and the tokens themselves, as texts of their own
+    cuts = np.concatenate([bounds, at, end])
+    cuts = cuts[np.argsort(cuts, kind="stable")]
+    special = np.searchsorted(cuts, at, "right") - 1
+    blank = np.ones(len(data), bool)
+    for a, b in zip(at.tolist(), end.tolist()):
+        blank[a:b] = False
+    kept = np.concatenate([[0], np.cumsum(blank)])  # the texts without the tokens, which leave empty parts behind
+    ids, cut = _encode_plain(data[blank], kept[cuts], vocabulary)
+    sizes = np.diff(cut)
+    ids = np.insert(ids, cut[special], token.astype(ids.dtype))
+    sizes[special] += 1
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    return ids, total[np.searchsorted(cuts, bounds, "left")]
+
+
+def _encode_plain(data: np.ndarray, bounds: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    enc, whole, kind = encoder(vocabulary), reference(vocabulary), id_type(vocabulary)
     n_docs = len(bounds) - 1
     if not len(data):
         return np.empty(0, kind), np.zeros(n_docs + 1, np.int64)
@@ -133,7 +194,11 @@ def encode(data: np.ndarray, bounds: np.ndarray, vocabulary: Vocabulary) -> tupl
     offsets = np.append(lead[at], len(data)).astype(np.int64)
     pieces = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data.tobytes())])
     coded = pieces.dictionary_encode()
-    ids = [enc.encode_ordinary(x.decode()) for x in coded.dictionary.to_pylist()]
+    # a document left to the tokenizer is one piece; so is a run of one class, which it would not split either
+    left = np.zeros(len(coded.dictionary), bool)
+    left[coded.indices.to_numpy()[unsure[owner]]] = True
+    ids = [whole.encode(x.decode(), add_special_tokens=False).ids if alone or len(x) > LONG else enc.encode_ordinary(x.decode())
+           for x, alone in zip(coded.dictionary.to_pylist(), left.tolist())]
     sizes = np.array([len(x) for x in ids], np.int64)
     flat = np.array([i for x in ids for i in x], kind)
     begin = np.concatenate([[0], np.cumsum(sizes)])

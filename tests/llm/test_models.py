@@ -27,9 +27,7 @@ def tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def ids_of(texts, limit=tx.SLICE_BYTES):
@@ -61,6 +59,43 @@ def test_ids_of_odd_texts(texts):
     assert ids_of(texts) == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
+SPECIAL = ["<|endoftext|>", "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "  <|endoftext|>  ", "<|endoftext", "|>", "x<|endoftext|>\u0378 <|endoftext|>",
+           "<|endoftext|>don't<|endoftext|>'s"]
+
+
+def test_ids_of_added_tokens(tokenizer):
+    texts = SPECIAL + ODD + SPECIAL
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert want[0] == [50256] and ids_of(texts) == want and ids_of(texts, 20) == want
+
+
+@pytest.mark.parametrize("unit", [" ", "\n", "a", "7", "!", "é", "\t ", "\u0378", " \u1e9e", "<|endoftext|>"])
+def test_ids_of_runs_of_two_megabytes(tokenizer, unit):
+    text = "x" + unit * (2_000_000 // len(unit.encode())) + "y z"
+    assert ids_of(["before", text, None]) == [tokenizer.encode(t, add_special_tokens=False).ids for t in ("before", text, "")]
+
+
+def test_ids_wider_than_sixteen_bits(tmp_path, spark):
+    """A vocabulary with an id above 65,535 gives 32-bit ids and matrices of that width."""
+    import json
+
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    known = spec["model"]["vocab"]
+    known |= {f"unused{i}": i for i in range(50257, 70000)}
+    spec["added_tokens"].append({**spec["added_tokens"][0], "id": 70000, "content": "<|wide|>"})
+    path = tmp_path / "wide.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    base = Vocabulary.byte_bpe_50k()
+    wide = Vocabulary(base.ranks, base.pattern, str(path))
+    docs = spark.createDataFrame([(1, "a <|wide|> b"), (2, None)], "doc_id long, text string")
+    row, = packing.pack_matrices(docs, capacity=16, vocabulary=wide).collect()
+    ids = np.frombuffer(row["input_ids"], "<u4")
+    assert len(ids) == 16 and 70000 in ids.tolist() and row["n_tokens"] == 6
+
+
 def plain_best_fit(lengths, capacity):
     rooms = []
     for n in sorted(lengths, reverse=True):
