@@ -3,11 +3,11 @@
 import pytest
 from compare import connect, difference
 
-from orbitlens.plans import catalog, oracles, roundtrips
+from orbitlens.plans import catalog, fits, oracles, roundtrips
 
 SF = "/root/testdata/sf0.001"
 QUERIES = catalog.QUERIES
-ORACLES = {**oracles.ORACLES, **roundtrips.ORACLES}
+ORACLES = {**oracles.ORACLES, **roundtrips.ORACLES, **fits.ORACLES}
 
 
 @pytest.fixture(scope="module")

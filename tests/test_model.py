@@ -1,8 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from orbitlens.functions import likelihood as lk
+from orbitlens.functions.noise import epoch_order, epoch_worker, normal_draws
 from orbitlens.operators import model as md
 from orbitlens.operators import registry as rg
 from orbitlens.operators import training as tr
@@ -131,20 +133,87 @@ def test_fit_learns_and_repeats(rows):
     assert all(np.allclose(first.weights[n], again.weights[n], rtol=1e-12) for n in first.weights)
 
 
+def shares(rows, s, epoch):
+    """Rows and noise of each worker in the order of an epoch."""
+    spread = rows.select("key", "features", epoch_worker(["key"], s.seed, epoch, s.workers).alias("w"),
+                         epoch_order(["key"], s.seed, epoch).alias("o"), normal_draws(["key"], s.seed, epoch, LATENT).alias("z"))
+    found = spread.orderBy("o", "key").collect()
+    return [(np.array([r["features"] for r in found if r["w"] == w]).reshape(-1, WIDTH), np.array([r["z"] for r in found if r["w"] == w]).reshape(-1, LATENT))
+            for w in range(s.workers)]
+
+
 def test_one_worker_equals_plain_loop(rows):
     """With one worker the epoch is ordinary mini-batch training."""
     s = tr.FitSettings(**{**SETTINGS.__dict__, "workers": 1, "max_epochs": 1})
     done = tr.fit(rows, rows, ["key"], "features", WIDTH, s)
-    order = rows.orderBy(F.xxhash64(F.lit(0), F.lit(s.seed), "key"), "key").collect()
-    x = np.array([r["features"] for r in order])
+    (x, z), = shares(rows, s, 0)
     w = md.init_weights(WIDTH, HIDDEN, LATENT, s.seed)
     m, v = ({n: np.zeros_like(a) for n, a in w.items()} for _ in range(2))
-    rng = np.random.default_rng([s.seed, 0, 0])
     for step, i in enumerate(range(0, len(x), 16), start=1):
-        batch = x[i:i + 16]
-        _, g = tr.loss_and_gradients(w, batch, rng.standard_normal((len(batch), LATENT)), s.beta, s.mixing)
+        _, g = tr.loss_and_gradients(w, x[i:i + 16], z[i:i + 16], s.beta, s.mixing)
         tr.adam_step(w, m, v, step, g, s.lr)
-    assert all(np.allclose(done.weights[n], w[n], rtol=1e-12) for n in w)
+    assert all(np.allclose(done.weights[n], w[n], rtol=1e-9, atol=1e-12) for n in w)
+
+
+@pytest.mark.parametrize("size", [1, 7, 16, 1000])
+def test_batches_do_not_depend_on_chunks(size):
+    x = np.arange(200.0).reshape(100, 2)
+    lists = lambda a: pa.array(a.tolist(), pa.list_(pa.float64()))
+    stream = [pa.RecordBatch.from_arrays([lists(x[a:b]), lists(x[a:b, :1])], ["x", "z"]) for a, b in ((0, 33), (33, 33), (33, 100))]
+    feed, got = tr.Feed(16, 2, 1), []
+    for piece in tr.chunks(iter(stream), 2, 1, size):
+        got += list(feed.take(*piece))
+    assert [len(b) for b, _ in got] == [16] * 6 + [4]
+    assert np.array_equal(np.concatenate([b for b, _ in got]), x) and np.array_equal(np.concatenate([z for _, z in got]), x[:, :1])
+
+
+def test_workers_in_step_equal_one_loop_over_their_batches(rows):
+    """Averaged gradients of all workers' batches give the same weights as one process does."""
+    s = tr.FitSettings(**{**SETTINGS.__dict__, "workers": 3, "max_epochs": 2, "sync": "step"})
+    done = tr.fit(rows, rows, ["key"], "features", WIDTH, s)
+    w = md.init_weights(WIDTH, HIDDEN, LATENT, s.seed)
+    m, v = ({n: np.zeros_like(a) for n, a in w.items()} for _ in range(2))
+    step = 0
+    for epoch in range(2):
+        parts = shares(rows, s, epoch)
+        assert all(len(x) > 20 for x, _ in parts)
+        for i in range(0, max(len(x) for x, _ in parts), 16):
+            got = [(len(x[i:i + 16]), tr.loss_and_gradients(w, x[i:i + 16], z[i:i + 16], s.beta, s.mixing)[1]) for x, z in parts if len(x) > i]
+            total = sum(n for n, _ in got)
+            step += 1
+            tr.adam_step(w, m, v, step, {k: sum(n * g[k] for n, g in got) / total for k in w}, s.lr)
+    assert all(np.allclose(done.last[0][n], w[n], rtol=1e-6, atol=1e-9) for n in w)
+
+
+def test_losses_do_not_depend_on_the_layout(rows):
+    s = tr.FitSettings(**{**SETTINGS.__dict__, "max_epochs": 2, "workers": 2})
+    first, second = (tr.fit(x, x, ["key"], "features", WIDTH, s).history.select("train_loss", "val_loss").collect()
+                     for x in (rows.coalesce(1), rows.repartition(9)))
+    assert np.allclose(first, second, rtol=1e-12)
+
+
+def test_noise_is_normal_and_fixed(spark):
+    draws = spark.range(4000).select(F.explode(normal_draws(["id"], 3, 1, 5)).alias("z")).toPandas()["z"]
+    assert abs(draws.mean()) < 0.03 and abs(draws.std() - 1) < 0.03 and abs((draws < -1.96).mean() - 0.025) < 0.01
+    one, other = (spark.range(5).select(normal_draws(["id"], 3, e, 2)).collect() for e in (1, 2))
+    assert one != other and one == spark.range(5).repartition(3).orderBy("id").select(normal_draws(["id"], 3, 1, 2)).collect()
+
+
+@pytest.mark.parametrize("sync", ["epoch", "step"])
+def test_resumed_fit_equals_unbroken_one(spark, rows, tmp_path, sync):
+    s = tr.FitSettings(**{**SETTINGS.__dict__, "max_epochs": 3, "workers": 2, "sync": sync})
+    whole = tr.fit(rows, rows, ["key"], "features", WIDTH, s)
+    folder = str(tmp_path / "fit")
+    for epochs in (1, 2):
+        tr.fit(rows, rows, ["key"], "features", WIDTH, tr.FitSettings(**{**s.__dict__, "max_epochs": epochs}), folder)
+    # an epoch whose records were not committed does not count
+    (tmp_path / "fit" / "epoch-000001" / "records" / "_SUCCESS").unlink()
+    again = tr.fit(rows, rows, ["key"], "features", WIDTH, s, folder)
+    columns = ["epoch", "train_loss", "val_loss"]
+    assert np.allclose(whole.history.select(columns).collect(), again.history.select(columns).collect(), rtol=1e-12)
+    assert all(np.allclose(whole.last[0][n], again.last[0][n], rtol=1e-12) for n in whole.weights)
+    with pytest.raises(ValueError, match="other settings"):
+        tr.fit(rows, rows, ["key"], "features", WIDTH, tr.FitSettings(**{**s.__dict__, "lr": 1.0}), folder)
 
 
 def test_reset_keeps_log_variances(rows):
@@ -160,12 +229,16 @@ def test_early_stop_in_fit(rows):
 
 
 def test_random_search(spark, rows):
-    trials = spark.createDataFrame([(0, 5e-3, 16.0, 1e-5), (1, 0.0, 16.0, 1e-5)],
+    trials = spark.createDataFrame([(0, 5e-3, 16.0, 1e-5), (1, 0.0, 24.0, 1e-5)],
                                    "trial int, lr double, batch_size double, beta double")
     s = tr.FitSettings(**{**SETTINGS.__dict__, "max_epochs": 3})
     found = tr.random_search(rows, rows, ["key"], "features", WIDTH, trials, s)
     assert found.count() == 2
     assert rg.best_trial(found, ["lr", "batch_size", "beta"]).first()["trial"] == 0
+    for r in found.collect():  # all in one pass, each as if alone
+        alone = tr.fit(rows, rows, ["key"], "features", WIDTH, tr.FitSettings(**{**s.__dict__, "lr": r["lr"], "batch_size": int(r["batch_size"]), "beta": r["beta"]}))
+        best = alone.history.where(F.col("epoch") == r["epoch"]).first()
+        assert alone.best_epoch == r["epoch"] and np.allclose(best["val_loss"], r["val_loss"], rtol=1e-12)
     broken = trials.withColumn("batch_size", F.lit(0.0))
     with pytest.raises(RuntimeError, match="2 of 2"):
         tr.random_search(rows, rows, ["key"], "features", WIDTH, broken, s)
