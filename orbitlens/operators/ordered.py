@@ -10,7 +10,6 @@ bucket. Bounds cover all order columns, so a single hot value is split by the ne
 
 from __future__ import annotations
 
-import json
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,7 +19,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -61,22 +60,51 @@ def _sort_key(df: DataFrame, name: str) -> tuple[Column, str]:
     return F.col(name).cast("double"), "double"
 
 
+class Cuts:
+    """Ascending cut tuples as one array per key column, searched for many rows at once."""
+
+    def __init__(self, cuts: list[tuple]):
+        self.columns = [np.array(c, dtype=object if isinstance(c[0], str) else None) for c in zip(*cuts)]
+        self.count = len(cuts)
+
+    def not_above(self, keys: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """How many cuts are <= each row; keys are (values, which are null) per column, nulls come first and NaN last."""
+        out = np.zeros(len(keys[0][0]), np.int32)
+        todo = [(np.arange(len(out)), 0, self.count, 0)]
+        while todo:
+            rows, low, high, depth = todo.pop()
+            column, (values, null) = self.columns[depth][low:high], keys[depth]
+            values, null = values[rows], null[rows]
+            below = low + np.searchsorted(column, values, "left")
+            upto = low + np.searchsorted(column, values, "right")
+            last = values != values
+            below[last], upto[last] = high, high
+            below[null], upto[null] = low, low
+            out[rows] = upto
+            tied = np.flatnonzero(below < upto)
+            if depth + 1 < len(self.columns):
+                # rows whose value some cuts share go by the next column, among these cuts
+                for start in np.unique(below[tied]):
+                    mine = tied[below[tied] == start]
+                    todo.append((rows[mine], int(start), int(upto[mine[0]]), depth + 1))
+        return out
+
+
 def _bucket_of(keys: list[tuple[Column, str]], cuts: list[tuple]) -> Column:
     """How many of the ascending cut tuples are <= the row's key; nulls come first.
 
-    A binary search over one constant array: its depth is the number of bits of the bucket
-    count, and the plan does not grow with the cuts or with repeated leading values.
+    The cuts (at most MAX_BUCKETS) are broadcast once and searched in Arrow batches.
     """
-    fields = [f"k{i}" for i in range(len(keys))]
-    kind = ",".join(f"{f}:{k}" for f, (_, k) in zip(fields, keys))
-    table = F.from_json(F.lit(json.dumps([dict(zip(fields, c)) for c in cuts])), f"array<struct<{kind}>>")
-    row = F.struct(*[x.cast(k).alias(f) for f, (x, k) in zip(fields, keys)])
-    strides = F.lit([1 << i for i in reversed(range(len(cuts).bit_length()))])
-    return F.aggregate(
-        strides,
-        F.lit(0),
-        lambda at, stride: F.when(F.get(table, at + stride - 1) <= row, at + stride).otherwise(at),
-    )
+    shared = SparkSession.active().sparkContext.broadcast(Cuts(cuts))
+    fills = ["" if kind == "string" else 0 for _, kind in keys]
+
+    @F.arrow_udf("int")
+    def place(*columns: pa.Array) -> pa.Array:
+        rows = [(pc.fill_null(c, fill).to_numpy(zero_copy_only=False), c.is_null().to_numpy(zero_copy_only=False))
+                for c, fill in zip(columns, fills)]
+        return pa.array(shared.value.not_above(rows))
+
+    return place(*[x.cast(kind) for x, kind in keys])
 
 
 def order_frame(

@@ -14,7 +14,7 @@ from orbitlens.plans import oracles as sql
 from orbitlens.plans.catalog import FEATURES, KEY, LINE_FEATURES, LINE_KEY, VECTOR, periods, query, r6, table, vectors
 from orbitlens.plans.pipeline import load_model
 from orbitlens.session import scratch_path
-from orbitlens.sources import readers, writers
+from orbitlens.sources import readers, row_groups, writers
 from orbitlens.streaming import scoring
 
 GROUP_ROWS, GROUPS = 500, 4
@@ -62,6 +62,26 @@ def archive_files(spark, sf_dir):
     return listed.select("year", "chunk", "rows", "file_name")
 
 
+#: rows of a row group in archives of odd and even years; row groups of an archive that are cut at all
+UNEVEN, GROUP_CAP = (700, 300), 12
+
+
+@query
+def archive_row_groups(spark, sf_dir):
+    """Archives with uneven row groups, cut by their footers up to a cap; the list is that of the files on disk."""
+    source, target = scratch_path(spark, "archives"), scratch_path(spark, "chunk-files")
+    rows = table(spark, sf_dir, "lineitem").select(*LINE_KEY, "l_shipdate", "l_quantity")
+    rows = rows.withColumn("archive", F.concat(F.lit("archive_"), F.year("l_shipdate")))
+    for even, size in enumerate(UNEVEN):
+        mine = rows.where(F.year("l_shipdate") % 2 == 1 - even)
+        (mine.repartition("archive").sortWithinPartitions("archive", *LINE_KEY).write.mode("append")
+         .option("parquet.block.row.count.limit", size).partitionBy("archive").parquet(source))
+    row_groups.rechunk(spark, source, target, GROUPS, GROUP_CAP)
+    parts = F.split("path", "/")
+    return row_groups.list_files(spark, target, "l_shipdate").select(
+        F.element_at(parts, -2).cast("int").alias("year"), F.element_at(parts, -1).alias("file_name"), "rows", "start", "end")
+
+
 @query
 def scaler_file(spark, sf_dir):
     """A fitted scaler written, read back and applied."""
@@ -189,6 +209,13 @@ WITH n AS (SELECT year(l_shipdate)::INTEGER AS year, l_linenumber = 1 AS first,
 c AS (SELECT year, n, unnest(range(0, ceil(n / {GROUP_ROWS * GROUPS}.0)::BIGINT)) AS i FROM n),
 r AS (SELECT year, (i * {GROUPS})::INTEGER AS chunk, least({GROUP_ROWS * GROUPS}, n - i * {GROUP_ROWS * GROUPS})::BIGINT AS rows FROM c)
 SELECT *, printf('row_groups_%05d_to_%05d.parquet', chunk, chunk + ceil(rows / {GROUP_ROWS}.0)::INTEGER) AS file_name FROM r""",
+    "archive_row_groups": f"""
+WITH n AS (SELECT year(l_shipdate)::INTEGER AS year, l_shipdate,
+             row_number() OVER (PARTITION BY year(l_shipdate) ORDER BY {sql.LINE_COLUMNS}) - 1 AS i FROM lineitem),
+g AS (SELECT *, (i // CASE WHEN year % 2 = 1 THEN {UNEVEN[0]} ELSE {UNEVEN[1]} END)::INTEGER AS g FROM n),
+c AS (SELECT year, g // {GROUPS} * {GROUPS} AS chunk, max(g) + 1 AS stop, count(*) AS rows, min(l_shipdate) AS "start",
+        max(l_shipdate) AS "end" FROM g WHERE g < {GROUP_CAP} GROUP BY ALL)
+SELECT year, printf('row_groups_%05d_to_%05d.parquet', chunk, stop) AS file_name, rows, "start", "end" FROM c""",
     "scaler_file": f"""
 WITH f AS (SELECT {', '.join(map(_moments, LINE_FEATURES))} FROM lineitem)
 SELECT {sql.LINE_COLUMNS}, {', '.join(f'round(({c} - {c}_m) / {c}_s, 6) AS {c}' for c in LINE_FEATURES)} FROM lineitem, f""",

@@ -3,10 +3,12 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from orbitlens.operators import ordered
 from orbitlens.operators.ordered import (
     BUCKET,
     batch_numbers,
@@ -150,3 +152,25 @@ def test_very_many_buckets_over_repeated_leading_values(spark):
     assert frame.n_buckets == 4096
     sizes = frame.df.groupBy(BUCKET).count().agg(F.max("count"), F.count("*")).first()
     assert sizes[0] < 200 and sizes[1] > 3500
+
+
+def test_cuts_count_as_plain_comparison_does():
+    """Nulls first, NaN last, tied columns decided by the next one."""
+    import math
+    import random
+
+    rng = random.Random(6)
+    inf, nan = math.inf, math.nan
+    for trial in range(60):
+        first = [rng.choice([-inf, -1.0, 0.0, 1.0, inf]) for _ in range(12)]
+        cuts = sorted((f, rng.randrange(4), rng.choice("abc")) for f in first)
+        rows = [(rng.choice([None, nan, -inf, -1.0, 0.0, 0.5, inf]), rng.choice([None, 0, 1, 2, 3]), rng.choice([None, "", "a", "b", "c"]))
+                for _ in range(80)]
+
+        def rank(v):
+            return (0, 0) if v is None else (2, 0) if v != v else (1, v)
+
+        want = [sum(tuple(map(rank, c)) <= tuple(map(rank, r)) for c in cuts) for r in rows]
+        keys = [(np.array([fill if r[i] is None else r[i] for r in rows], dtype=kind), np.array([r[i] is None for r in rows]))
+                for i, (fill, kind) in enumerate(((0.0, float), (0, np.int64), ("", object)))]
+        assert ordered.Cuts(cuts).not_above(keys).tolist() == want
