@@ -355,6 +355,8 @@ def run_trials(train: DataFrame, validation: DataFrame, key: list[str], features
     store = Checkpoints(train.sparkSession, checkpoint) if checkpoint else None
     done = store.load(trials) if store else None
     epoch = 0 if done is None else done + 1
+    if not any(t.open(epoch) for t in trials):
+        return trials
     train, validation = (materialize(x.select(*key, features), "fit") for x in (train, validation))
     workers, checkers = workers_for(train, trials[0].settings), workers_for(validation, trials[0].settings)
     while True:

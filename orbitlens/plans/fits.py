@@ -14,8 +14,10 @@ from orbitlens.functions import likelihood as lk
 from orbitlens.functions.noise import normal_draws
 from orbitlens.operators import sampling, training
 from orbitlens.plans import catalog
+from orbitlens.plans.pipeline import run_pipeline
+from orbitlens.plans.stage_cache import StageCache, digest_files
 from orbitlens.plans import oracles as sql
-from orbitlens.plans.catalog import VECTOR, fixed_weights, query, r6, vectors
+from orbitlens.plans.catalog import KEY, PIPELINE_HIGH, PIPELINE_LOW, STEPS, VECTOR, WINDOW, fixed_weights, periods, query, r6, telemetry, vectors
 from orbitlens.plans.catalog import _fit_frames as fit_frames
 from orbitlens.session import scratch_path
 
@@ -70,6 +72,33 @@ def latent_draws(spark, sf_dir):
     return parts.select("vec_id", F.col("pos").alias("position"), r6("col.noise").alias("noise"), r6(z).alias("z"))
 
 
+def trained_pipeline(spark, sf_dir, cache):
+    """The whole analysis with the model branch, on a model that stands still."""
+    settings = replace(STILL, max_epochs=2)
+    return run_pipeline(telemetry(spark, sf_dir), periods(spark, sf_dir), "ts", KEY, ["value"], window=WINDOW, low=PIPELINE_LOW,
+                        high=PIPELINE_HIGH, n_thresholds=STEPS, fit_settings=settings, initial=fixed_weights(1), dtype="float64",
+                        cache=cache, source=digest_files(spark, f"{sf_dir}/events.parquet"))
+
+
+@query
+def cached_pipeline(spark, sf_dir):
+    """The analysis run twice on one stage cache: metrics of the second run, and how many stages each run made."""
+    folder = scratch_path(spark, "stages")
+    first, second = StageCache(spark, folder), StageCache(spark, folder)
+    trained_pipeline(spark, sf_dir, first)
+    done = trained_pipeline(spark, sf_dir, second)
+    counts = [F.lit(len(x)).alias(n) for n, x in (("made_first", first.built), ("made_second", second.built), ("reused", second.reused))]
+    return done.metrics.select(*[r6(c).alias(c) for c in done.metrics.columns], *counts)
+
+
+@query
+def pipeline_results(spark, sf_dir):
+    """The result frame of the model branch: latent columns, smoothed scores and predictions of every row."""
+    done = trained_pipeline(spark, sf_dir, StageCache(spark, scratch_path(spark, "stages")))
+    rounded = ["neg_log_likelihood", "smoothed_neg_log_likelihood", *[f"{a}_{i}" for a in ("mean_z", "log_var_z") for i in range(2)]]
+    return done.results.withColumns({c: r6(c) for c in rounded}).withColumnRenamed("Anomaly", "label")
+
+
 def md5_text(seed: str, epoch: str, *more: str) -> str:
     return f"md5(concat_ws(':', {', '.join((seed, epoch, *more))}))"
 
@@ -124,7 +153,34 @@ DRAWN = f"""SELECT (row_number() OVER (ORDER BY draw, combination) - 1)::INTEGER
 
 GRADIENT = 1e-5 * 0.01
 
+#: the model branch on one scaled feature
+ONE = f"""{sql.SPLIT},
+  par AS (SELECT avg(value) AS c, stddev_pop(value) AS s FROM spl WHERE split = 'train'),
+  v0 AS (SELECT event_id, ts, split, CASE WHEN split = 'test' THEN label ELSE 0 END AS label, [(value - c) / s] AS x
+         FROM spl, par WHERE split <> 'train'),
+  v1 AS (SELECT *, {sql.dense('x', 1, 8, True)} AS h1 FROM v0),
+  v2 AS (SELECT *, {sql.dense('h1', 8, 8, True)} AS h2 FROM v1),
+  v3 AS (SELECT *, {sql.dense('h2', 8, 4, False)} AS code FROM v2),
+  v4 AS (SELECT *, code[1:2] AS z FROM v3),
+  v5 AS (SELECT *, {sql.dense('z', 2, 8, True)} AS g1 FROM v4),
+  v6 AS (SELECT *, {sql.dense('g1', 8, 8, True)} AS g2 FROM v5),
+  v7 AS (SELECT *, {sql.dense('g2', 8, 1, False)} AS m FROM v6),
+  raw AS (SELECT event_id, ts, split, label, code, 0.5 * (x[1] - m[1]) * (x[1] - m[1]) + {sql.HALF_LOG_2PI} AS nll FROM v7),
+  sco AS (SELECT *, median(nll) OVER (ORDER BY ts, event_id ROWS 99 PRECEDING) AS sm FROM raw),
+  {sql.LABEL_RUNS}"""
+
 ORACLES = {
+    "cached_pipeline": f"""
+WITH {ONE}, {sql.grid(PIPELINE_LOW, PIPELINE_HIGH, STEPS)}, {sql.sweep('sco', 'ts', 'label', '-sm')}
+SELECT *, 5::INTEGER AS made_first, 0::INTEGER AS made_second, 5::INTEGER AS reused FROM ({sql.BEST})""",
+    "pipeline_results": f"""
+WITH {ONE}, hit AS (SELECT DISTINCT i."start", i."end" FROM isl i JOIN sco r ON r.ts BETWEEN i."start" AND i."end"
+                    WHERE -r.sm < {PIPELINE_HIGH!r})
+SELECT ts, event_id, round(nll, 6) AS neg_log_likelihood, split AS dataset, label, round(code[1], 6) AS mean_z_0,
+  round(code[3], 6) AS log_var_z_0, round(code[2], 6) AS mean_z_1, round(code[4], 6) AS log_var_z_1,
+  round(sm, 6) AS smoothed_neg_log_likelihood, (-sm < {PIPELINE_HIGH!r})::INT AS prediction_point,
+  (-sm < {PIPELINE_HIGH!r} OR EXISTS (SELECT 1 FROM hit h WHERE r.ts BETWEEN h."start" AND h."end"))::INT AS prediction_event
+FROM sco r""",
     "fixed_fit": f"""
 WITH {passes(3, "SELECT 0 AS trial, 32 AS batch_size, 0.001::DOUBLE AS beta")}
 SELECT epoch, round(train_loss, 6) AS train_loss, round(val_loss, 6) AS val_loss FROM his""",
