@@ -49,7 +49,9 @@ def test_word_hashes_follow_words():
 
 def test_bitmap_never_misses(spark):
     values = np.random.default_rng(1).integers(-2**63, 2**63 - 1, 2000)
+    assert [bitmap.size_for(n) for n in (0, 10, 1 << 17, 10**9)] == [20, 20, 21, 29]
     words = bitmap.build(spark.createDataFrame([(int(v),) for v in values], "h long"), "h").value
+    assert len(words) == 1 << 14
     assert bitmap.contains(words, values.view(np.uint64)).all()
     others = np.random.default_rng(2).integers(-2**63, 2**63 - 1, 2000).view(np.uint64)
     assert bitmap.contains(words, others).sum() < 5
@@ -112,6 +114,60 @@ def test_sharding(spark, shards):
     assert sharding.shuffle_into_shards(docs.limit(0), shards).count() == 0
 
 
+def plain_shards(rows, shards, seed, buckets, hashes):
+    """The law of the shards in plain Python: hashes gives (key, other, {copy: bucket hash}, {(bucket, step): draw hash})."""
+    by = {}
+    copies = Counter(rows)
+    for row, n in copies.items():
+        key, other = hashes["row"][row]
+        for c in range(n):
+            copy = c + 1 if n > sharding.HOT else 0
+            by.setdefault(hashes["bucket"][key, copy] % buckets, []).append((key, other, copy, c, row))
+    order = []
+    for bucket in sorted(by):
+        members = sorted(by[bucket])
+        places = [0]
+        for i in range(1, len(members)):
+            j = hashes["draw"][bucket, i] % (i + 1)
+            places.append(i)
+            places[j], places[i] = (i, places[j]) if j < i else (places[j], i)
+        laid = [None] * len(members)
+        for member, place in zip(members, places):
+            laid[place] = member[-1]
+        order += laid
+    n, out = len(order), Counter()
+    for at, row in enumerate(order):
+        shard = at * shards // n
+        out[row, shard, at - (shard * n + shards - 1) // shards] += 1
+    return out
+
+
+@pytest.mark.parametrize("shards", [3, 40])
+def test_shards_equal_a_plain_shuffle_under_every_layout(spark, shards):
+    seed, schema = 17, "doc_id long, text string"
+    rows = [(i % 700, f"text {i % 700}") for i in range(900)] + [(None, None)] * 2 + [(5000, "hot")] * 400
+    docs = spark.createDataFrame(rows, schema)
+    buckets, distinct = sharding.MIN_BUCKETS, list(dict.fromkeys(rows))
+    hashed = spark.createDataFrame([(i, *r) for i, r in enumerate(distinct)], f"i long, {schema}").select(
+        "i", F.xxhash64(F.lit(seed), F.struct("doc_id", "text")).alias("k"), F.xxhash64(F.struct("doc_id", "text"), F.lit(seed)).alias("o")).collect()
+    row = {distinct[r["i"]]: (r["k"], r["o"]) for r in hashed}
+    keys = spark.createDataFrame([(k, c) for k, _ in row.values() for c in (range(401) if k == row[5000, "hot"][0] else (0,))], "k long, c long")
+    bucket = {(r["k"], r["c"]): r["h"] for r in keys.select("k", "c", F.when(F.col("c") > 0, F.xxhash64(F.lit(seed + 1), "k", "c")).otherwise(
+        F.xxhash64(F.lit(seed + 1), "k")).alias("h")).collect()}
+    steps = spark.range(buckets).select(F.col("id").alias("b"), F.explode(F.sequence(F.lit(1), F.lit(200))).alias("s"))
+    draws = {(r["b"], r["s"]): r["h"] for r in steps.select("b", "s", F.xxhash64(F.lit(seed + 2), "b", "s").alias("h")).collect()}
+    want = plain_shards(rows, shards, seed, buckets, {"row": row, "bucket": bucket, "draw": draws})
+    for parts in (1, 5):
+        got = sharding.shuffle_into_shards(docs.repartition(parts), shards, seed).collect()
+        assert Counter(((r["doc_id"], r["text"]), r["shard"], r["slot"]) for r in got) == want
+
+
+def test_shards_keep_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a", "x", 2, "k")], "doc_id long, text string, size string, `at` long, `key` string")
+    got = sharding.shuffle_into_shards(docs, 2).first()
+    assert (got["at"], got["key"], got["size"]) == (2, "k", 17)
+
+
 def test_sharding_mixes_and_writes(spark, tmp_path):
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
     out = sharding.shuffle_into_shards(docs, 4)
