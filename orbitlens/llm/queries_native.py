@@ -14,10 +14,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base counts of every text, and the cascade's verdict on those that pass the base rule."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rules = quality_rules.order_rules(docs, quality_rules.STANDARD)
+def _described(docs: DataFrame) -> DataFrame:
+    """Base counts of every text, and the base rule's verdict."""
     text = F.col("text")
     rows = docs.withColumn("words", quality_rules.words_of(text))
     rows = rows.withColumn("hashes", quality_rules.window_hashes(F.col("words"), 5))
@@ -29,10 +27,19 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         quality_rules.duplicate_lines(text).alias("n_dup_lines"),
         quality_rules.repeated_words(F.col("words"), F.col("hashes"), 5).alias("n_repeat_words"))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    rows = rows.withColumn("base_failed", failed)
-    others = [r for r in rules if r.name not in ("few_words", "repetitive")]
-    by = F.when(F.col("base_failed"), F.lit("base")).otherwise(quality_rules.first_rejection(others, quality_rules.ColumnFeatures(text)))
-    rows = rows.withColumn("rejected_by", by)
+    return rows.withColumn("base_failed", failed)
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every text, and the cascade's verdict on those that pass the base rule."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    others = [r for r in quality_rules.STANDARD if r.name not in ("few_words", "repetitive")]
+    # the base rule has been applied where the cascade starts, and counts are columns there
+    others = quality_rules.order_rules(docs, others, features=quality_rules.ColumnFeatures,
+                                       prepare=_described, among="not base_failed")
+    chain = quality_rules.first_rejection(others, quality_rules.ColumnFeatures(F.col("text")))
+    by = F.when(F.col("base_failed"), F.lit("base")).otherwise(chain)
+    rows = _described(docs).withColumn("rejected_by", by)
     return rows.withColumn("kept", F.col("rejected_by").isNull()).drop("text", "rejected_by")
 
 
