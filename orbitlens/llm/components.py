@@ -23,22 +23,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return least.select(F.col("m").alias("a"), "b").union(moved).distinct()
 
 
-def connected(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of an edge table (a, b) of longs; root is the least node reachable.
 
-    Each round writes its edges to the shared folder, so the lineage stays short and lost executors
-    do no harm. Hot nodes are pre-aggregated by min and joined on joins that the engine can split.
-    Self links and repeated rows do not matter; an empty table gives no rows.
+    Rounds go on until the edges stay the same, which both steps are known to reach: every round that changes
+    an edge gives some node a smaller parent. Each round writes its edges to the shared folder, so the lineage stays
+    short and lost executors do no harm. Hot nodes are pre-aggregated by min and joined on joins that the engine can
+    split. Self links and repeated rows do not matter; an empty table gives no rows.
     """
     now = materialize(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                       .distinct(), "edges")
     mark = F.struct(F.count("*"), F.sum(F.col("a").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("a", "b")))
-    seen = now.agg(mark).first()[0]
-    for _ in range(max_rounds):
+    seen, state = None, now.agg(mark).first()[0]
+    while state != seen:
         now = materialize(_small_star(_large_star(now)), "edges")
-        state = now.agg(mark).first()[0]
-        if state == seen:
-            return now.select(F.col("b").alias("node"), F.col("a").alias("root")).union(
-                now.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
-        seen = state
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        seen, state = state, now.agg(mark).first()[0]
+    return now.select(F.col("b").alias("node"), F.col("a").alias("root")).union(
+        now.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
