@@ -3,27 +3,27 @@
 A window of ``window`` words is removed from a document if the same window starts in a document
 with a smaller doc_id. Removed words are those that a removed window covers.
 
-1. Copies. Of equal texts the one with the least doc_id goes on; the others are wholly removed.
+1. Copies. Of equal texts the one with the least doc_id goes on; the others are wholly removed. Rows of one text are
+   told apart from others by a salted join, so a text that a third of all rows have is no hot key.
 2. Anchors. Of every window's k-word phrases the one with the least hash is its anchor, so equal
    windows have equal anchors. Counting anchors over all documents (about two for every nine
    positions) leaves the few that occur more than once.
-3. Confirmation. Windows with such an anchor are counted themselves, with their least and largest
+3. Confirmation. Windows whose anchor recurs are counted themselves, with their least and largest
    doc_id. Those of two documents or more recur; the least doc_id owns them. Counts are combined
    within tasks before they move, so a window that a third of all documents hold is no hot key.
-4. Passages. Owners' recurring windows are joined to the longest passages, cut into overlapping
-   pieces of ``PIECE`` windows.
-5. Automata. Documents that hold a window owned by another are dealt into blocks of a few megabytes;
-   the others stay where they are. A block gets the pieces of which it holds a window, compiles their anchor
-   phrases into one Aho-Corasick automaton, and streams its documents through it. Where a phrase
-   occurs, the windows around are looked up among the pieces' windows. So a text passes one
-   automaton, and an automaton is never larger than what its block can match.
+4. Shards. Documents are dealt to blocks of a few megabytes. The anchor phrases of confirmed windows that stand in a
+   block's texts are its shard: each is compiled into the block's Aho-Corasick automaton once, and each confirmed
+   window is listed once for a block, with its owner.
+5. Automata. Every document streams through the automaton of its block. Where a phrase is reported, the windows
+   around it are looked up among the confirmed ones: what the automata report is what is removed. No
+   automaton is larger than what its block can match.
 
 Windows are compared by 64-bit hashes, phrases by their text.
 
-Defined cases: null text counts as empty; texts with fewer words than a window keep all words;
-documents with equal doc_id do not remove each other's words; null doc_ids come after all others;
-repeated rows are judged alike; an empty table gives no rows; an input column named like an output
-column is replaced.
+Defined cases: null text counts as empty; texts with fewer words than a window keep all words; a very long text is a
+slice of its own and is read whole; documents with equal doc_id do not remove each other's words; null doc_ids
+come after all others; repeated rows are judged alike; an empty table gives no rows; an input column named like
+an output column or like one of ``EXTRA`` is replaced.
 """
 
 from __future__ import annotations
@@ -46,7 +46,8 @@ from orbitlens.session import materialize
 
 WINDOW = 13
 PHRASE = 6
-PIECE = 64
+#: a text's rows are joined under so many keys
+SALTS = 16
 BLOCK_BYTES = 4 << 20
 #: smaller slices than elsewhere: several passes share an executor's memory
 SLICE = 1 << 20
@@ -73,6 +74,14 @@ class Parsed:
         """Hashes of the windows at the given word positions."""
         return tx.window_hashes(self.hashes, self.at if at is None else at, self.window, 400 + self.window)
 
+    def anchor_of(self, at: np.ndarray) -> np.ndarray:
+        """The anchor hashes of the windows at the given word positions."""
+        first = np.searchsorted(self.gram_at, at)  # the phrases of a window follow each other
+        least = self.grams[first].copy()
+        for j in range(1, self.window - self.k + 1):
+            np.minimum(least, self.grams[first + j], out=least)
+        return least
+
     def near(self, phrases_at: np.ndarray) -> np.ndarray:
         """Start positions of the windows of one document that hold a phrase at one of the positions."""
         marks = np.zeros(len(self.hashes) + 1, np.int64)
@@ -81,6 +90,11 @@ class Parsed:
         inside = np.cumsum(marks)[:-1] > 0
         return self.at[inside[self.at]]
 
+    def phrase(self, at: int) -> bytes:
+        """The words of the phrase at a word position, joined by one space."""
+        w = self.words
+        return b" ".join(w.data[x:y].tobytes() for x, y in zip(w.starts[at:at + self.k], w.ends[at:at + self.k]))
+
 
 def _arrow(names: list[str], arrays: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names)
@@ -118,7 +132,7 @@ def _count_anchors(window: int, k: int, copies):
 
 
 def _recurring_windows(window: int, k: int, copies, bits):
-    """Windows with a recurring anchor, with the least and largest doc_id of the slice."""
+    """Windows whose anchor recurs, with their anchor and the least and largest doc_id of the slice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _single(batches, copies):
             for lo, hi, data, bounds in tx.slices(batch.column("text"), SLICE):
@@ -127,99 +141,51 @@ def _recurring_windows(window: int, k: int, copies, bits):
                 at = p.near(where[bitmap.contains(bits.value, anchors)])
                 if not len(at):
                     continue
+                own = p.anchor_of(at)
+                ok = bitmap.contains(bits.value, own)
+                at, own = at[ok], own[ok]
                 ids = batch.column("__doc").slice(lo, hi - lo).to_numpy()[p.words.owners()[at]]
                 h = p.windows(at)
                 order = np.lexsort((ids, h))
-                h, ids = h[order], ids[order]
-                first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-                last = np.append(first[1:], len(h)) - 1
-                yield _arrow(["window", "least", "most"], [tx.signed(h[first]), ids[first], ids[last]])
+                h, ids, own = h[order], ids[order], own[order]
+                first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.empty(0, np.int64)
+                last = np.append(first[1:], len(h))[:len(first)] - 1
+                yield _arrow(["window", "anchor", "least", "most"], [tx.signed(h[first]), tx.signed(own[first]), ids[first], ids[last]])
 
     return run
 
 
-def _texts_of(copies, bits):
-    """The documents whose doc_id the bitmap lets through."""
+def _phrases(window: int, k: int, copies, bits):
+    """The anchor phrases of each block that the bitmap lets through, once per slice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _single(batches, copies):
-            ok = bitmap.contains(bits.value, batch.column("hash").to_numpy().view(np.uint64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c).filter(pa.array(ok)) for c in ("__doc", "text")], ["doc_id", "text"])
-
-    return run
-
-
-def _passages(window: int, k: int):
-    """The longest runs of the owner's recurring windows, in pieces of PIECE windows."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            owners, starts, texts = [], [], []
-            mine = batch.column("windows")
             for lo, hi, data, bounds in tx.slices(batch.column("text"), SLICE):
                 p = Parsed(data, bounds, window, k)
-                h, w = p.windows(), p.words
-                cut = np.searchsorted(p.owner, np.arange(hi - lo + 1))
-                for d in range(hi - lo):
-                    at = p.at[cut[d]:cut[d + 1]]
-                    known = np.asarray(mine[lo + d].values, np.int64).view(np.uint64)
-                    hit = np.isin(h[cut[d]:cut[d + 1]], known)
-                    edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
-                    for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
-                        for s in range(a, b, PIECE):
-                            e = min(s + PIECE, b) + window - 1
-                            first = int(at[0]) + s
-                            owners.append(batch.column("doc_id")[lo + d].as_py())
-                            starts.append(s)
-                            texts.append(b" ".join(data[x:y].tobytes() for x, y in zip(
-                                w.starts[first:first + e - s], w.ends[first:first + e - s])))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(owners, pa.int64()), pa.array(starts, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())],
-                ["owner", "start", "text"])
-
-    return run
-
-
-def _windows_of(window: int, k: int, columns: list[str], copies=None, bits=None):
-    """Distinct (window, columns) of each slice; with a bitmap only the windows it lets through."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches if copies is None else _single(batches, copies):
-            for lo, hi, data, bounds in tx.slices(batch.column("text"), SLICE):
-                p = Parsed(data, bounds, window, k)
-                h, rows = p.windows(), p.owner
-                if bits is not None:
-                    ok = bitmap.contains(bits.value, h)
-                    h, rows = h[ok], rows[ok]
-                values = [batch.column(c).slice(lo, hi - lo).to_numpy()[rows] for c in columns]
-                order = np.lexsort((*values, h))
-                h, values = h[order], [v[order] for v in values]
-                new = np.zeros(len(h), bool)
-                new[:1] = True
-                for v in (h, *values):
-                    new[1:] |= v[1:] != v[:-1]
-                yield _arrow(["window", *columns], [tx.signed(h[new]), *[v[new] for v in values]])
+                where, anchors = p.anchors()
+                ok = bitmap.contains(bits.value, anchors)
+                where, anchors = where[ok], anchors[ok]
+                blocks = batch.column("__block").slice(lo, hi - lo).to_numpy()[p.words.owners()[where]]
+                order = np.lexsort((anchors, blocks))
+                where, anchors, blocks = where[order], anchors[order], blocks[order]
+                new = np.ones(len(where), bool)
+                new[1:] = (anchors[1:] != anchors[:-1]) | (blocks[1:] != blocks[:-1])
+                texts = pa.array([p.phrase(i) for i in where[new].tolist()], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(blocks[new]), pa.array(tx.signed(anchors[new])), texts], ["block", "anchor", "phrase"])
 
     return run
 
 
 class Automaton:
-    """The anchor phrases of some passages, and the hashes and owners of their windows."""
+    """The anchor phrases of a block, and the hashes and owners of the confirmed windows around them."""
 
-    def __init__(self, owners: np.ndarray, texts: pa.Array, window: int, k: int):
+    def __init__(self, phrases: list[str], hashes: np.ndarray, owners: np.ndarray, window: int, k: int):
         self.window, self.k = window, k
         self.machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        hashes, whose = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-        for lo, _, data, bounds in tx.slices(texts, SLICE):
-            p = Parsed(data, bounds, window, k)
-            w = p.words
-            for at in p.anchors()[0].tolist():
-                phrase = data[w.starts[at]:w.ends[at + k - 1]].tobytes().decode()
-                self.machine.add_word(f" {phrase} ", 1)
-            hashes.append(p.windows())
-            whose.append(owners[lo + p.owner])
-        every, ids = np.concatenate(hashes), np.concatenate(whose)
-        order = np.lexsort((ids, every))
-        first = np.append(True, np.diff(every[order]) != 0) if len(every) else np.empty(0, bool)
-        self.hashes, self.owners = every[order][first], ids[order][first]
+        for phrase in phrases:
+            self.machine.add_word(f" {phrase} ", 1)
+        order = np.argsort(hashes)
+        self.hashes, self.owners = hashes[order], owners[order]
         if len(self.machine):
             self.machine.make_automaton()
 
@@ -239,7 +205,7 @@ class Automaton:
                 if ends:
                     spaces = np.flatnonzero(np.frombuffer(plain.encode("utf-32-le"), np.uint32) == 32)[1:]
                     found.append(a + np.searchsorted(spaces, np.array(ends)) - (self.k - 1))
-            if found:
+            if found and len(self.hashes):
                 at = p.near(np.concatenate(found))
                 h = p.windows(at)
                 place = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
@@ -278,9 +244,11 @@ def _cleaned(table: pa.Table, drop: list[str], parts: Iterator[tuple[Parsed, np.
 
 def _clean(window: int, k: int):
     """A block's documents, cleaned by its automaton."""
-    def run(docs: pa.Table, pieces: pa.Table) -> pa.Table:
-        docs, pieces = docs.combine_chunks(), pieces.combine_chunks()
-        machine = Automaton(pieces["owner"].to_numpy(), pieces["text"], window, k)
+    def run(docs: pa.Table, shard: pa.Table) -> pa.Table:
+        docs, shard = docs.combine_chunks(), shard.combine_chunks()
+        phrases = shard["phrase"].drop_null().to_pylist()
+        windows = shard.filter(shard["phrase"].is_null())
+        machine = Automaton(phrases, windows["window"].to_numpy().view(np.uint64), windows["owner"].to_numpy(), window, k)
         ids = docs["__doc"].to_numpy()
 
         def parts():
@@ -293,32 +261,18 @@ def _clean(window: int, k: int):
     return run
 
 
-def _touched(window: int, k: int, copies, bits, yes: bool):
-    """Documents that may lose words, for their blocks; or the others, with their results."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _single(batches, copies):
-            hit = bitmap.contains(bits.value, batch.column("__hash").to_numpy().view(np.uint64))
-            rows = pa.Table.from_batches([batch.filter(pa.array(hit if yes else ~hit))]).drop_columns(["__hash"])
-            if not yes:
-                rows = _cleaned(rows, EXTRA, _unchanged(rows["text"], window, k))
-            yield from rows.to_batches()
-
-    return run
-
-
-def _unchanged(texts: pa.ChunkedArray, window: int, k: int, all_of: bool = False):
-    """Parsed slices of which no word is removed; or all words of texts that have a window."""
+def _all_gone(texts: pa.ChunkedArray, window: int, k: int):
+    """Parsed slices of which all words of texts that have a window are removed."""
     for _, _, data, bounds in tx.slices(texts, SLICE):
         p = Parsed(data, bounds, window, k)
-        gone = np.repeat(p.words.counts >= window, p.words.counts) if all_of else np.zeros(len(p.hashes), bool)
-        yield p, bounds, gone
+        yield p, bounds, np.repeat(p.words.counts >= window, p.words.counts)
 
 
 def _copies_gone(window: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            yield from _cleaned(table, EXTRA, _unchanged(table["text"], window, k, all_of=True)).to_batches()
+            yield from _cleaned(table, EXTRA, _all_gone(table["text"], window, k)).to_batches()
 
     return run
 
@@ -331,14 +285,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
     """All rows with n_words, n_removed, kept_words (joined by one space) and cut_text (the text without removed words)."""
     spark = docs.sparkSession
     added = ["n_words", "n_removed", "kept_words", "cut_text"]
-    docs = docs.drop(*added)
+    docs = docs.drop(*added, *EXTRA)
     number = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     n_blocks = max(math.ceil(total / BLOCK_BYTES), 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    key1, key2 = (c.alias(f"__{n}") for c, n in zip(text_key(F.col(text)), ("key1", "key2")))
-    dealt = lambda doc: F.pmod(F.xxhash64(doc), F.lit(n_blocks)).cast("long")
-    block = dealt(number).alias("__block")
-    whole = docs.select("*", number.alias("__doc"), key1, key2, block).withColumnRenamed(text, "text")
+    key1, key2 = text_key(F.col(text))
+    # texts take part, so that rows of one id are spread; equal texts have left a single row by then
+    block = F.pmod(F.xxhash64(number, key1), F.lit(n_blocks)).cast("long")
+    others = [F.col(c) for c in docs.columns if c not in (doc_id, text)]
+    # columns of any name beside the text travel as one
+    whole = docs.select(F.struct(F.col(doc_id).alias("id"), *others).alias("row"), F.col(text).alias("text"),
+                        number.alias("__doc"), key1.alias("__key1"), key2.alias("__key2"), block.alias("__block"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in whole.schema.fields)
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in whole.drop(*EXTRA).schema.fields)
     out += ", n_words bigint, n_removed bigint, kept_words string, cut_text string"
@@ -346,35 +303,35 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
     equal = (whole.groupBy("__key1", "__key2").agg(F.min("__doc").alias("__least"), F.count("*").alias("n"))
              .where("n > 1").drop("n"))
     copies = bitmap.build(equal, "__key1")
-    doubtful = materialize(whole.mapInArrow(_only_suspected(copies), kinds).join(equal, ["__key1", "__key2"], "left")
-                           .select(*whole.columns, "__least"), "copies")
+    salted = equal.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS)).cast("int")
+    doubtful = materialize(whole.mapInArrow(_only_suspected(copies), kinds).withColumn("__salt", salt)
+                           .join(salted, ["__key1", "__key2", "__salt"], "left").select(*whole.columns, "__least"), "copies")
     later = F.col("__doc") > F.col("__least")
     firsts = doubtful.where(~F.coalesce(later, F.lit(False))).drop("__least").withColumn("__key1", F.lit(None).cast("long"))
     later_copies = doubtful.where(later).drop("__least").mapInArrow(_copies_gone(window, k), out)
     stream = whole.union(firsts.select(*whole.columns))  # every pass leaves out what it finds in the bitmap of copies
 
-    slim = stream.select("__doc", "__key1", "text")
+    slim = stream.select("__doc", "__key1", "__block", "text")
     anchors = (slim.mapInArrow(_count_anchors(window, k, copies), "anchor bigint, n bigint")
                .groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1"))
     recurring = _recurring_windows(window, k, copies, bitmap.build(anchors, "anchor"))
-    windows = (slim.mapInArrow(recurring, "window bigint, least bigint, most bigint")
-               .groupBy("window").agg(F.min("least").alias("least"), F.max("most").alias("most")).where("least < most"))
-    owned = materialize(windows.groupBy(F.col("least").alias("doc_id")).agg(F.collect_list("window").alias("windows")), "owned")
-    bits = bitmap.build(owned.select(F.xxhash64("doc_id").alias("hash")), "hash")
-    owners = (slim.select("*", F.xxhash64("__doc").alias("hash"))
-              .mapInArrow(_texts_of(copies, bits), "doc_id bigint, text string").join(owned, "doc_id"))
-    passages = materialize(owners.mapInArrow(_passages(window, k), "owner bigint, start bigint, text string").distinct(), "passages")
-
-    known = passages.mapInArrow(_windows_of(window, k, ["owner", "start"]), "window bigint, owner bigint, start bigint")
-    bits = bitmap.build(owned.select(F.explode("windows").alias("window")), "window")
-    held = slim.mapInArrow(_windows_of(window, k, ["__doc"], copies, bits), "window bigint, __doc bigint")
-    matches = materialize(held.join(known, "window").where(F.col("owner") < F.col("__doc"))
-                          .select("__doc", "owner", "start").distinct(), "matches")
-    needed = (matches.select(dealt(F.col("__doc")).alias("block"), "owner", "start").distinct()
-              .join(passages, ["owner", "start"]).select("block", "owner", "text"))
-    changed = bitmap.build(matches.select(F.xxhash64("__doc").alias("hash")), "hash")
-    hashed = stream.withColumn("__hash", F.xxhash64("__doc"))
-    same = hashed.mapInArrow(_touched(window, k, copies, changed, False), out)
-    touched = hashed.mapInArrow(_touched(window, k, copies, changed, True), kinds)
-    cleaned = touched.groupBy("__block").cogroup(needed.groupBy("block")).applyInArrow(_clean(window, k), out)
-    return same.union(cleaned).union(later_copies).withColumnRenamed("text", text)
+    confirmed = materialize(
+        slim.mapInArrow(recurring, "window bigint, anchor bigint, least bigint, most bigint").groupBy("window")
+        .agg(F.min("anchor").alias("anchor"), F.min("least").alias("owner"), F.max("most").alias("most"))
+        .where("owner < most").drop("most"), "confirmed")
+
+    known = bitmap.build(confirmed.select("anchor").distinct(), "anchor")
+    standing = materialize(
+        slim.mapInArrow(_phrases(window, k, copies, known), "block bigint, anchor bigint, phrase string")
+        .groupBy("block", "anchor").agg(F.min("phrase").alias("phrase")), "phrases")
+    listed = standing.select("block", "anchor").join(confirmed, "anchor").select("block", "window", "owner")
+    none = F.lit(None).cast("bigint")
+    shards = (standing.select("block", "phrase", none.alias("window"), none.alias("owner"))
+              .union(listed.select("block", F.lit(None).cast("string"), "window", "owner")))
+    dealt = stream.mapInArrow(lambda batches: _single(batches, copies), kinds)
+    cleaned = dealt.groupBy("__block").cogroup(shards.groupBy("block")).applyInArrow(_clean(window, k), out)
+    rows = cleaned.union(later_copies)
+    columns = [F.col("text") if c == text else F.col("row")["id" if c == doc_id else c].alias(c) for c in docs.columns]
+    named = [c.alias(n) for c, n in zip(columns, docs.columns)]
+    return rows.select(*named, *added)

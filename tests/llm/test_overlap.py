@@ -156,8 +156,7 @@ def plain_removed(rows, window):
     return out
 
 
-def test_passages_equal_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(passages, "PIECE", 5)
+def test_passages_equal_brute_force(spark):
     rng = random.Random(9)
     fresh = lambda n: [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
     shared = [fresh(n) for n in (13, 14, 30, 60, 12, 200)]
@@ -181,3 +180,26 @@ def test_passages_equal_brute_force(spark, monkeypatch):
         if not r["n_removed"]:
             assert r["cut_text"] == (r["text"] or "")
     assert passages.remove_repeats(df.limit(0)).count() == 0
+
+
+def test_passages_of_one_word_and_of_hot_rows(spark):
+    """A text of one repeated word is one window, however long; a third of the rows share a text, and a third an id."""
+    rows = [(0, "a " * 40_000), *[(i, "a " * 60 + f"x{i}") for i in range(1, 200)], *[(500 + i, "b c d e " * 9) for i in range(100)],
+            *[(None, f"q{i} " * 3 + "the same passage of more than thirteen words that many rows without an id do hold " + f"r{i}") for i in range(100)]]
+    df = spark.createDataFrame([(d, t, "x", 1, "y") for d, t in rows], "doc_id long, text string, __doc string, `row` long, phrase string").repartition(4)
+    got = passages.remove_repeats(df)
+    assert got.columns == ["doc_id", "text", "row", "phrase", "n_words", "n_removed", "kept_words", "cut_text"]
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    found = sorted(((r["doc_id"], r["n_words"], r["n_removed"], hashlib.sha256(r["kept_words"].encode()).hexdigest()) for r in got.collect()), key=key)
+    assert found == sorted(plain_removed(rows, 13), key=key)
+
+
+def test_anchor_of_a_window_is_its_least_phrase():
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices("abcdefgh", k=rng.randrange(0, 60))) for _ in range(20)]
+    (_, _, data, bounds), = passages.tx.slices(passages.pa.array(texts))
+    p = passages.Parsed(data, bounds, 13, 6)
+    grams = dict(zip(p.gram_at.tolist(), p.grams.tolist()))
+    assert p.anchor_of(p.at).tolist() == [min(grams[i + j] for j in range(8)) for i in p.at.tolist()]
+    where, anchors = p.anchors()
+    assert set(p.anchor_of(p.at).tolist()) == set(anchors.tolist())
