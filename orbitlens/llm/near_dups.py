@@ -9,10 +9,9 @@
    bucket mates overall, and a member joins the groups of its hubs. Two documents of one bucket
    share its hub's group, so every candidate pair lies in a group.
 4. In a group, every member is compared with the hub. Members linked to it are settled: they need
-   no comparison among themselves. The others are compared with all members. Groups are cut into
-   chunks, and the others meet the other chunks block by block. A comparison looks at the odd
-   sketches first and confirms on the full sets. A block returns the links that join parts not yet
-   joined, at most one per document, never all pairs.
+   no comparison among themselves. In a group of up to ``CHUNK`` members the others are compared with all members;
+   in a larger one they meet by the prefixes of their sets (see ``large_groups``). A comparison looks at the odd
+   sketches first and confirms on the full sets. A group returns the links that join parts not yet joined.
 5. Components of the confirmed links.
 
 At the limit of similarity 0.85 a pair is missed by all bands with a chance of 2e-8 and by the
@@ -38,6 +37,7 @@ from orbitlens.llm import bitmap
 from orbitlens.llm import textops as tx
 from orbitlens.llm.components import connected
 from orbitlens.llm.decontaminate import text_key
+from orbitlens.llm.large_groups import differing, large_links
 from orbitlens.session import materialize
 
 BANDS, ROWS = 24, 4
@@ -216,10 +216,10 @@ def _edge_table(edges: list[tuple[int, int]]) -> pa.Table:
 
 
 def _near_hub(percent: int):
-    """Links with the hub, and links of the others inside the chunk; b = a marks a document not linked to its hub."""
+    """Links with the hub, and in a group of one chunk links of the others; b = a marks a document not linked to its hub."""
     def run(key, table: pa.Table) -> pa.Table:
         hub = key[0].as_py()
-        m = _Members(table)
+        m, large = _Members(table), table["chunks"][0].as_py() > 1
         everyone = np.arange(len(m.node))
         h = int(np.flatnonzero(m.node == hub)[0])
         parts, edges = _Parts(len(m.node)), []
@@ -231,6 +231,8 @@ def _near_hub(percent: int):
             if i in settled:
                 continue
             edges.append((int(m.node[i]), int(m.node[i])))
+            if large:
+                continue
             apart = np.array([j for j in everyone if parts.find(j) != parts.find(i)], np.int64)
             for j in m.linked(m.one(i), m.sketch[i], apart, percent).tolist():
                 if parts.join(i, j):
@@ -240,28 +242,6 @@ def _near_hub(percent: int):
     return run
 
 
-def _across(percent: int):
-    """Links of a block of documents not linked to their hub with a chunk of the hub's group."""
-    def run(key, others: pa.Table, members: pa.Table) -> pa.Table:
-        edges: list[tuple[int, int]] = []
-        if len(others) and len(members):
-            u, m = _Members(others), _Members(members)
-            place = {int(n): i for i, n in enumerate(m.node)}
-            parts = _Parts(len(m.node) + len(u.node))
-            for i, node in enumerate(u.node.tolist()):
-                if node in place:
-                    parts.join(place[node], len(m.node) + i)
-            for i, node in enumerate(u.node.tolist()):
-                mine = parts.find(len(m.node) + i)
-                apart = np.array([j for j in range(len(m.node)) if parts.find(j) != mine], np.int64)
-                for j in m.linked(u.one(i), u.sketch[i], apart, percent).tolist():
-                    if parts.join(len(m.node) + i, j):
-                        edges.append((node, int(m.node[j])))
-        return _edge_table(edges)
-
-    return run
-
-
 def find_links(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Confirmed links (a, b) between class representatives, enough to connect every component.
 
@@ -277,11 +257,16 @@ def find_links(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> Dat
         shared.join(hubs.select("bucket", (-F.col("top.node")).alias("hub")), "bucket").select("hub", "node").distinct(),
         "members")
     groups = members.groupBy("hub").agg(F.count("*").alias("size"))
-    rows = members.join(groups, "hub").join(classes.select("node", "c1", "c2", "sketch"), "node")
+    groups = materialize(groups, "sizes")
+    # members of large groups take their size from a short list of hubs; no join on the hub has a hot key then
+    big = groups.where(F.col("size") > CHUNK)
+    sized = members.join(big, "hub").unionByName(
+        members.join(big.select("hub"), "hub", "left_anti").join(groups.where(F.col("size") <= CHUNK), "hub"))
+    rows = sized.join(classes.select("node", "c1", "c2", "sketch"), "node")
     # a hub and a single mate whose sketches are too far apart need no confirmation; this is the bulk of chance buckets
     mate = rows.where("size = 2 and hub <> node").select("hub", F.col("sketch").alias("other"))
-    differ = F.aggregate(F.zip_with("sketch", "other", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
-    apart = (rows.where("size = 2 and hub = node").join(mate, "hub").where(differ > differing_bits(percent)).select("hub"))
+    apart = (rows.where("size = 2 and hub = node").join(mate, "hub")
+             .where(differing("sketch", "other") > differing_bits(percent)).select("hub"))
     rows = rows.join(apart, "hub", "left_anti")
     chunks = F.ceil(F.col("size") / CHUNK).cast("int")
     rows = rows.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
@@ -299,19 +284,12 @@ def find_links(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> Dat
             lambda key, t: _with_hub(key, _near_hub(percent)(key, t)), f"hub bigint, {schema}"), "links")
     links = near.where("a <> b").select("a", "b")
 
-    # documents of cut groups that their hub does not reach meet all chunks
     large = groups.where("chunks > 1")
-    if not large.head(1):
+    alone = materialize(near.where("a = b").select("hub", F.col("a").alias("node")).distinct().join(
+        large.select("hub", "node"), ["hub", "node"], "left_semi"), "alone")
+    if not alone.head(1):
         return links
-    alone = large.join(near.where("a = b").select("hub", F.col("a").alias("node")).distinct(), ["hub", "node"])
-    blocks = alone.groupBy("hub").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("blocks"))
-    alone = (alone.join(blocks, "hub")
-             .withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
-             .withColumn("chunk", F.explode(F.expr("sequence(0, chunks - 1)"))))
-    others = large.join(blocks, "hub").withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
-    keys, values = ["hub", "block", "chunk"], ["node", "sketch", "shingles"]
-    u, m = (x.select(*[F.col(c).alias(c) for c in keys + values]) for x in (alone, others))
-    return links.union(u.groupBy(*keys).cogroup(m.groupBy(*keys)).applyInArrow(_across(percent), schema))
+    return links.union(large_links(large, alone, classes, percent, differing_bits(percent)))
 
 
 def _with_hub(key, table: pa.Table) -> pa.Table:
@@ -335,8 +313,10 @@ def find_components(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
     out = signed.drop("keys", "sketch").join(named, ["c1", "c2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     out = out.withColumn("component_id", component).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # documents without shingles are their own components, and take no part in the join
     stays = out.where("kept and root is not null").groupBy("root").agg(F.min("rid").alias("first"))
-    out = out.join(stays, "root", "left")
+    lone = out.where("root is null").withColumn("first", F.lit(None).cast("long"))
+    out = out.where("root is not null").join(stays, "root").select(*out.columns, "first").unionByName(lone)
     return out.select("doc_id", "key1", "key2", "n_shingles", "component_id", "kept",
                       (F.col("root").isNull() | F.col("rid").eqNullSafe(F.col("first"))).alias("stays"))
 

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from orbitlens.llm import decontaminate, near_dups, passages
+from orbitlens.llm import decontaminate, large_groups, near_dups, passages
 from orbitlens.llm.components import connected
 
 
@@ -66,6 +66,60 @@ def test_near_dups_equal_brute_force(spark, monkeypatch, chunk):
         assert (got[doc]["n_shingles"], got[doc]["component_id"], got[doc]["kept"]) == (len(s), c, doc == c), text
 
 
+def template(rng, n, own, length=120, name="t"):
+    """Documents that share a template and hold ``own`` words of their own, some of them twice with an edit or two."""
+    base = [f"{name}{i}" for i in range(length)]
+    out = []
+    for i in range(n):
+        w = base[:length - own] + [f"{name}own{i}x{j}" for j in range(own)]
+        out.append(" ".join(w))
+        if i % 10 == 0:
+            w[rng.randrange(length)] = "edit"
+            out.append(" ".join(w))
+    return out
+
+
+@pytest.mark.parametrize("own", [8, 14, 25])
+def test_templates_below_the_limit_equal_brute_force(spark, monkeypatch, own):
+    """Groups of more than a chunk whose members are not linked to their hub."""
+    monkeypatch.setattr(near_dups, "CHUNK", 16)
+    rng = random.Random(own)
+    texts = template(rng, 90, own) + template(rng, 60, own + 3, name="u") + family(rng, 20)
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    sets, want = plain_components(rows, 3, 85)
+    got = {r["doc_id"]: r["component_id"] for r in near_dups.find_components(
+        spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()}
+    assert [got[d] for d, _ in rows] == want
+
+
+def test_prefixes_meet_all_linked_pairs(spark):
+    """Every pair of sets at or above the limit shares a prefix shingle, and templates give few meetings."""
+    rng = random.Random(2)
+    sets = [sorted(rng.sample(range(40), rng.randrange(1, 40))) for _ in range(60)]
+    sets += [sorted({*range(1000, 1090 + rng.randrange(3)), *(10**6 * (i + 1) + j for j in range(20))}) for i in range(60)]
+    rows = [(0, i, i % 4, 4, passages.np.array(x, passages.np.uint64).tobytes(), i, i % 3 > 0) for i, x in enumerate(sets)]
+    members = spark.createDataFrame(rows, "hub long, node long, chunk int, chunks int, shingles binary, part long, alone boolean")
+    met = {tuple(sorted((r["a"], r["b"]))) for r in large_groups.meetings(members, 85).collect()}
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            both = len(set(x) & set(y))
+            if 100 * both >= 85 * (len(x) + len(y) - both) and (i % 3 or j % 3):
+                assert (j, i) in met
+    assert not any(i >= 60 and j >= 60 for i, j in met)
+
+
+def test_meetings_of_a_template_grow_with_its_documents(spark):
+    rng = random.Random(6)
+    met = []
+    for n in (200, 400):
+        sets = [{*range(250), *(10**6 * (i + 1) + j for j in range(60))} | ({10**6 * i + j for j in range(58)} if i % 10 == 0 else set()) for i in range(n)]
+        rows = [(0, i, i % 4, 4, passages.np.array(sorted(x), passages.np.uint64).tobytes(), i, True) for i, x in enumerate(sets)]
+        members = spark.createDataFrame(rows, "hub long, node long, chunk int, chunks int, shingles binary, part long, alone boolean")
+        met.append(large_groups.meetings(members, 85).count())
+    assert 0 < met[1] <= 2.5 * met[0] and met[0] < 200
+
+
 def test_keep_first_cases(spark):
     long = " ".join(f"word{i}" for i in range(60))
     rows = [(5, long, "k"), (5, long, "k"), (7, long.upper(), "k"), (None, long + " more", "k"), (1, None, "k"), (2, "", "k"), (3, "z", "k")]
