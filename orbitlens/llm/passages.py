@@ -23,7 +23,7 @@ Windows are compared by 64-bit hashes, phrases by their text.
 Defined cases: null text counts as empty; texts with fewer words than a window keep all words; a very long text is a
 slice of its own and is read whole; documents with equal doc_id do not remove each other's words; null doc_ids
 come after all others; repeated rows are judged alike; an empty table gives no rows; an input column named like
-an output column or like one of ``EXTRA`` is replaced.
+an output column is replaced, any other is kept.
 """
 
 from __future__ import annotations
@@ -285,7 +285,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
     """All rows with n_words, n_removed, kept_words (joined by one space) and cut_text (the text without removed words)."""
     spark = docs.sparkSession
     added = ["n_words", "n_removed", "kept_words", "cut_text"]
-    docs = docs.drop(*added, *EXTRA)
+    docs = docs.drop(*added)
     number = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     n_blocks = max(math.ceil(total / BLOCK_BYTES), 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -242,7 +242,7 @@ def test_passages_of_one_word_and_of_hot_rows(spark):
             *[(None, f"q{i} " * 3 + "the same passage of more than thirteen words that many rows without an id do hold " + f"r{i}") for i in range(100)]]
     df = spark.createDataFrame([(d, t, "x", 1, "y") for d, t in rows], "doc_id long, text string, __doc string, `row` long, phrase string").repartition(4)
     got = passages.remove_repeats(df)
-    assert got.columns == ["doc_id", "text", "row", "phrase", "n_words", "n_removed", "kept_words", "cut_text"]
+    assert got.columns == ["doc_id", "text", "__doc", "row", "phrase", "n_words", "n_removed", "kept_words", "cut_text"]
     key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
     found = sorted(((r["doc_id"], r["n_words"], r["n_removed"], hashlib.sha256(r["kept_words"].encode()).hexdigest()) for r in got.collect()), key=key)
     assert found == sorted(plain_removed(rows, 13), key=key)
