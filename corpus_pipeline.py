@@ -29,10 +29,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that a document with a smaller id holds are cut out; a text cut to nothing stays as an empty one."""
-    cut = passages.remove_repeats(docs, PASSAGE_WORDS)
-    changed = F.when(F.col("n_removed") > 0, F.col("cut_text")).otherwise(F.col("text"))
-    chars = F.when(F.col("n_removed") > 0, F.length("cut_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return cut.withColumns({"text": changed, "n_chars": chars}).select(*docs.columns)
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("others")
+    cut = passages.remove_repeats(docs.select("doc_id", "text", others), PASSAGE_WORDS)
+    done = F.col("n_removed") > 0
+    own = F.col("others")["n_chars"]
+    new = {"text": F.when(done, F.col("cut_text")).otherwise(F.col("text")),
+           "n_chars": F.when(done, F.length("cut_text").cast(docs.schema["n_chars"].dataType)).otherwise(own)}
+    return cut.select(*[new.get(c, F.col("others")[c]).alias(c) for c in docs.columns])
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
