@@ -246,9 +246,11 @@ def _clean(window: int, k: int):
     """A block's documents, cleaned by its automaton."""
     def run(docs: pa.Table, shard: pa.Table) -> pa.Table:
         docs, shard = docs.combine_chunks(), shard.combine_chunks()
-        phrases = shard["phrase"].drop_null().to_pylist()
-        windows = shard.filter(shard["phrase"].is_null())
-        machine = Automaton(phrases, windows["window"].to_numpy().view(np.uint64), windows["owner"].to_numpy(), window, k)
+        windows = shard["windows"].combine_chunks() if len(shard) else pa.array([], pa.list_(pa.int64()))
+        if isinstance(windows, pa.ChunkedArray):
+            windows = pa.concat_arrays(windows.chunks)
+        owners = np.repeat(shard["owner"].to_numpy(), windows.value_lengths().to_numpy())
+        machine = Automaton(pc.unique(shard["phrase"]).to_pylist(), windows.flatten().to_numpy().view(np.uint64), owners, window, k)
         ids = docs["__doc"].to_numpy()
 
         def parts():
@@ -325,10 +327,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
     standing = materialize(
         slim.mapInArrow(_phrases(window, k, copies, known), "block bigint, anchor bigint, phrase string")
         .groupBy("block", "anchor").agg(F.min("phrase").alias("phrase")), "phrases")
-    listed = standing.select("block", "anchor").join(confirmed, "anchor").select("block", "window", "owner")
-    none = F.lit(None).cast("bigint")
-    shards = (standing.select("block", "phrase", none.alias("window"), none.alias("owner"))
-              .union(listed.select("block", F.lit(None).cast("string"), "window", "owner")))
+    # an owner's windows of one anchor are one row: no more than its document holds
+    owned = confirmed.groupBy("anchor", "owner").agg(F.collect_list("window").alias("windows"))
+    shards = standing.join(owned, "anchor").select("block", "phrase", "owner", "windows")
     dealt = stream.mapInArrow(lambda batches: _single(batches, copies), kinds)
     cleaned = dealt.groupBy("__block").cogroup(shards.groupBy("block")).applyInArrow(_clean(window, k), out)
     rows = cleaned.union(later_copies)
