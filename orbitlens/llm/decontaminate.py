@@ -8,12 +8,13 @@ joined gram is confirmed word by word and extended to both sides, and counts if
 ``window`` words. Items with fewer words are one gram of their own length, looked up at every
 position.
 
-One pass over the documents writes their candidates: kept grams that a fixed-size bitmap of the
+One pass over the documents writes their candidates: kept grams that a bitmap of the
 benchmark's grams lets through, with the words around. What is joined is that table, so its size
 follows the shared text, and frequent grams are one row per place, on a join the engine can split.
 
 Defined cases: null or wordless texts have no words and no hits; wordless items match nothing;
-repeated rows are judged one by one; items of equal id count once, items without id hit but are
+repeated rows are judged one by one; very long texts are read whole; where windows tie for the least hash any
+choice finds the same spans; items of equal id count once, items without id hit but are
 not listed; an empty benchmark leaves every document clean. Input columns named like an output
 column are replaced.
 """

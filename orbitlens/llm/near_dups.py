@@ -19,8 +19,9 @@ sketch with less; links are exact otherwise (64-bit shingle hashes).
 
 Defined cases: null, empty and wordless texts have no shingles and are linked with nothing; a text
 with fewer words than a shingle has its whole word sequence as the only one; repeated rows are
-copies like others; null doc_ids come last and form components by their links only; an empty
-table gives no rows; input columns named like an output column are replaced.
+copies like others; null doc_ids come last and form components by their links only; texts of any length are read
+whole, a very long one as a slice of its own; of equal weights the hub is the node of the least number, which
+decides nothing; an empty table gives no rows; `keep_first` keeps all columns, whatever their names.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ of the id, and ``STEPS * BATCH`` pairs of them. All documents are scored from a
 one pass over the texts writes.
 
 Defined cases: null text counts as empty, whose features are all zero, and is scored like others; null ids
-and null labels take no part in the fit; repeated rows are judged alike; with one class or no labels at all every
+and null labels take no part in the fit; repeated rows are judged alike; very long texts are described whole; equal
+features get equal scores, and a score at the cut counts as label 1; input columns called ``features``, ``score`` or
+``predicted`` are replaced, others are kept; with one class or no labels at all every
 document gets the score CUT, which counts as label 1; an empty table gives no rows.
 """
 

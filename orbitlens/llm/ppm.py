@@ -20,8 +20,9 @@ gram, to a join. So the trie may be of any size; only the head is of fixed size.
 The unigram base score counts words in the same passes and uses the same split of head and tail.
 
 Defined cases: null text counts as empty, which is an end symbol alone; repeated rows are scored
-and learnt like others; without training texts every symbol is equally likely; an empty table
-gives no rows; further columns are not looked at.
+and learnt like others; very long texts are scored whole, a slice of their own; grams of equal number may stand in
+the head or go by the join, with the same result; without training texts every symbol is equally likely; an empty
+table gives no rows; further columns are not looked at, whatever their names.
 """
 
 from __future__ import annotations
