@@ -44,6 +44,8 @@ from orbitlens.session import materialize
 BANDS, ROWS = 24, 4
 SKETCH_BITS = 256
 CHUNK = 256
+#: copies of a text that are joined by its hash
+HOT_COPIES = 256
 #: a sketch estimate this far below the limit cannot belong to a link (over six standard deviations)
 SLACK = 0.25
 
@@ -305,21 +307,27 @@ def find_components(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
                        *text_key(F.col(text)), F.col(text).alias("text"))
     signed = materialize(slim.mapInArrow(_sign(k), SIGNED), "signatures")
     full = signed.where("n_shingles > 0")
-    classes = materialize(full.groupBy("c1", "c2").agg(F.min("rid").alias("node"), F.min("doc_id").alias("least")), "classes")
+    classes = materialize(full.groupBy("c1", "c2").agg(F.min("rid").alias("node"), F.min("doc_id").alias("least"),
+                                                        F.count("*").alias("copies")), "classes")
     heads = classes.join(full.select(F.col("rid").alias("node"), "keys", "sketch"), "node")
     roots = connected(find_links(heads, slim, k, percent))
     rooted = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    named = rooted.join(least, "root").select("c1", "c2", "component", "root")
-    out = signed.drop("keys", "sketch").join(named, ["c1", "c2"], "left")
+    named = materialize(rooted.join(least, "root").select("c1", "c2", "component", "root", "copies"), "components")
+    # rows of texts with very many copies meet a short list of their own, the others no hot key
+    hot, rest = named.where(F.col("copies") > HOT_COPIES).drop("copies"), named.where(F.col("copies") <= HOT_COPIES).drop("copies")
+    rows = signed.drop("keys", "sketch")
+    many, few = rows.join(hot, ["c1", "c2"]), rows.join(hot.select("c1", "c2"), ["c1", "c2"], "left_anti").where("n_shingles > 0")
+    none = [F.lit(None).cast("bigint").alias(c) for c in ("component", "root")]
+    out = (many.unionByName(few.join(rest, ["c1", "c2"]))
+           .unionByName(rows.where("n_shingles = 0").select("*", *none)))
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     out = out.withColumn("component_id", component).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # documents without shingles are their own components, and take no part in the join
-    stays = out.where("kept and root is not null").groupBy("root").agg(F.min("rid").alias("first"))
-    lone = out.where("root is null").withColumn("first", F.lit(None).cast("long"))
-    out = out.where("root is not null").join(stays, "root").select(*out.columns, "first").unionByName(lone)
+    # the one row of a component that stays is told by its own number, not by the component's
+    stays = out.where("kept and root is not null").groupBy("root").agg(F.min("rid").alias("rid"))
+    out = out.join(stays.select("rid", F.lit(True).alias("first")), "rid", "left")
     return out.select("doc_id", "key1", "key2", "n_shingles", "component_id", "kept",
-                      (F.col("root").isNull() | F.col("rid").eqNullSafe(F.col("first"))).alias("stays"))
+                      (F.col("root").isNull() | F.coalesce("first", F.lit(False))).alias("stays"))
 
 
 def keep_first(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -53,9 +53,11 @@ def family(rng, n_copies, length=120, edits=8):
 @pytest.mark.parametrize("chunk", [4, 256])
 def test_near_dups_equal_brute_force(spark, monkeypatch, chunk):
     monkeypatch.setattr(near_dups, "CHUNK", chunk)
+    monkeypatch.setattr(near_dups, "HOT_COPIES", chunk // 4)
     rng = random.Random(7)
     texts = [t for n in (30, 12, 3, 1, 1) for t in family(rng, n)]
     texts += [None, "", "  ", "a", "A", "a b", "A  b", "b a", "x y z", "X y\tz"] + [" ".join(rng.choices("ab", k=40)) for _ in range(5)]
+    texts += [texts[0]] * 5 + [texts[31]] * 2
     rng.shuffle(texts)
     rows = [(i * 3, t) for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
