@@ -137,6 +137,17 @@ def trial_draws(spark, sf_dir):
     return trials.withColumn("rows", F.lit(vectors(spark, sf_dir).count()).cast("long"))
 
 
+@query
+def observed_draws(spark, sf_dir):
+    """Random search over the values a table holds: drawn pairs of tax and discount, and the lines that have them."""
+    lines = table(spark, sf_dir, "lineitem")
+    choices = {c: [r[0] for r in lines.select(c).distinct().orderBy(c).collect()] for c in ("l_tax", "l_discount")}
+    trials = sampling.draw_trials(spark, choices, DRAWN)
+    found = lines.groupBy("l_tax", "l_discount").agg(F.count("*").alias("lines"), F.sum("l_quantity").alias("quantity"))
+    return trials.join(found, ["l_tax", "l_discount"], "left").select(
+        "trial", "l_tax", "l_discount", F.coalesce("lines", F.lit(0)).cast("long").alias("lines"), r6(F.coalesce("quantity", F.lit(0.0))).alias("quantity"))
+
+
 @query
 def first_features(spark, sf_dir):
     cut = vectors(spark, sf_dir).select("vec_id", scaling.first_features("features", 3).alias("cut"))
@@ -228,6 +239,14 @@ d AS (SELECT *, {sql.draw('combination')} AS draw FROM p),
 t AS (SELECT (row_number() OVER (ORDER BY draw, combination) - 1)::INTEGER AS trial, lr::DOUBLE AS lr,
         batch_size::DOUBLE AS batch_size, beta::DOUBLE AS beta FROM d)
 SELECT t.*, (SELECT count(*) FROM embeddings) AS rows FROM t WHERE trial < {DRAWN}""",
+    "observed_draws": f"""
+WITH t AS (SELECT l_tax, row_number() OVER (ORDER BY l_tax) - 1 AS i FROM (SELECT DISTINCT l_tax FROM lineitem)),
+d AS (SELECT l_discount, row_number() OVER (ORDER BY l_discount) - 1 AS j, count(*) OVER () AS m FROM (SELECT DISTINCT l_discount FROM lineitem)),
+p AS (SELECT l_tax, l_discount, (i * m + j)::INTEGER AS combination FROM t, d),
+r AS (SELECT l_tax, l_discount, (row_number() OVER (ORDER BY {sql.draw('combination')}, combination) - 1)::INTEGER AS trial FROM p),
+n AS (SELECT l_tax, l_discount, count(*) AS lines, sum(l_quantity) AS quantity FROM lineitem GROUP BY ALL)
+SELECT trial, l_tax, l_discount, coalesce(lines, 0)::BIGINT AS lines, round(coalesce(quantity, 0), 6)::DOUBLE AS quantity
+FROM r LEFT JOIN n USING (l_tax, l_discount) WHERE trial < {DRAWN}""",
     "first_features": f"""
 SELECT vec_id, 3::INTEGER AS width, {', '.join(f'round(embedding[{i + 1}]::DOUBLE, 6) AS f{i}' for i in range(3))} FROM embeddings""",
     "request_objects": f"SELECT {sql.LINE_COLUMNS}, {', '.join(LINE_FEATURES)} FROM lineitem",
