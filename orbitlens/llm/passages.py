@@ -49,6 +49,8 @@ PHRASE = 6
 #: a text's rows are joined under so many keys
 SALTS = 16
 BLOCK_BYTES = 4 << 20
+#: windows of an anchor in one row
+ANCHOR_WINDOWS = 1024
 #: smaller slices than elsewhere: several passes share an executor's memory
 SLICE = 1 << 20
 LAST = (1 << 63) - 1
@@ -246,11 +248,10 @@ def _clean(window: int, k: int):
     """A block's documents, cleaned by its automaton."""
     def run(docs: pa.Table, shard: pa.Table) -> pa.Table:
         docs, shard = docs.combine_chunks(), shard.combine_chunks()
-        windows = shard["windows"].combine_chunks() if len(shard) else pa.array([], pa.list_(pa.int64()))
-        if isinstance(windows, pa.ChunkedArray):
-            windows = pa.concat_arrays(windows.chunks)
-        owners = np.repeat(shard["owner"].to_numpy(), windows.value_lengths().to_numpy())
-        machine = Automaton(pc.unique(shard["phrase"]).to_pylist(), windows.flatten().to_numpy().view(np.uint64), owners, window, k)
+        # an empty shard has no chunks
+        pairs = shard["windows"].combine_chunks().flatten().flatten() if len(shard) else [pa.array([], pa.int64())] * 2
+        hashes, owners = (x.to_numpy() for x in pairs)
+        machine = Automaton(pc.unique(shard["phrase"]).to_pylist(), hashes.view(np.uint64), owners, window, k)
         ids = docs["__doc"].to_numpy()
 
         def parts():
@@ -327,9 +328,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
     standing = materialize(
         slim.mapInArrow(_phrases(window, k, copies, known), "block bigint, anchor bigint, phrase string")
         .groupBy("block", "anchor").agg(F.min("phrase").alias("phrase")), "phrases")
-    # an owner's windows of one anchor are one row: no more than its document holds
-    owned = confirmed.groupBy("anchor", "owner").agg(F.collect_list("window").alias("windows"))
-    shards = standing.join(owned, "anchor").select("block", "phrase", "owner", "windows")
+    # the windows of an anchor are one row; of an anchor with very many, those of one owner, which its document bounds
+    per_anchor = confirmed.groupBy("anchor").agg(F.count("*").alias("n"))
+    hot = per_anchor.where(F.col("n") > ANCHOR_WINDOWS).select("anchor")
+    pair = F.collect_list(F.struct("window", "owner")).alias("windows")
+    few = confirmed.join(hot, "anchor", "left_anti").groupBy("anchor").agg(pair)
+    many = confirmed.join(hot, "anchor").groupBy("anchor", "owner").agg(pair).drop("owner")
+    shards = standing.join(few.union(many), "anchor").select("block", "phrase", "windows")
     dealt = stream.mapInArrow(lambda batches: _single(batches, copies), kinds)
     cleaned = dealt.groupBy("__block").cogroup(shards.groupBy("block")).applyInArrow(_clean(window, k), out)
     rows = cleaned.union(later_copies)

@@ -212,7 +212,9 @@ def plain_removed(rows, window):
     return out
 
 
-def test_passages_equal_brute_force(spark):
+@pytest.mark.parametrize("anchor_windows", [1024, 2])
+def test_passages_equal_brute_force(spark, monkeypatch, anchor_windows):
+    monkeypatch.setattr(passages, "ANCHOR_WINDOWS", anchor_windows)
     rng = random.Random(9)
     fresh = lambda n: [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
     shared = [fresh(n) for n in (13, 14, 30, 60, 12, 200)]
