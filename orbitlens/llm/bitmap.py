@@ -14,6 +14,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orbitlens.session import materialize
+
 MIN_BITS, MAX_BITS = 20, 29
 BITS_PER_HASH = 16
 
@@ -24,13 +26,17 @@ def size_for(hashes: int) -> int:
 
 
 def build(df: DataFrame, column: str) -> Broadcast:
-    """The filter of a long column, as a broadcast array of words."""
-    bits = size_for(df.count())
+    """The filter of a long column, as a broadcast array of words.
+
+    The hashes are written once, as they are counted before they are spread.
+    """
+    hashes = materialize(df.select(F.col(column).alias("h")).where("h is not null"), "hashes")
+    bits = size_for(hashes.count())
     mask = F.lit((1 << bits) - 1)
-    h = F.col(column)
+    h = F.col("h")
     places = F.array(F.shiftrightunsigned(h, 64 - bits), F.shiftrightunsigned(h, 17).bitwiseAND(mask),
                      h.bitwiseXOR(F.shiftrightunsigned(h, 29)).bitwiseAND(mask))
-    rows = (df.where(h.isNotNull()).select(F.explode(places).alias("p"))
+    rows = (hashes.select(F.explode(places).alias("p"))
             .select(F.shiftright("p", 6).alias("at"), F.col("p").bitwiseAND(F.lit(63)).cast("int").alias("bit"))
             .groupBy("at").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("word")))
     got = rows.toArrow()
