@@ -271,3 +271,15 @@ def test_registry(spark, tmp_path):
     assert [r["run_id"] for r in rg.promoted(scores).collect()] == ["b"]
     pairs = spark.sql("select array(struct('lr' as name, 0.1D as value)) as p")
     assert pairs.select(rg.pairs_to_map("p").alias("m")).first()["m"] == {"lr": 0.1}
+
+
+def test_fit_without_train_or_validation_rows(spark, rows, tmp_path):
+    settings = tr.FitSettings(latent_dim=LATENT, hidden_dims=HIDDEN, max_epochs=3, patience=1, workers=2)
+    none = rows.limit(0)
+    still = tr.fit(none, rows, ["key"], "features", WIDTH, settings, str(tmp_path / "a"), weights())
+    assert all((still.weights[n] == w).all() for n, w in weights().items())
+    assert still.best_epoch == -1 and still.history.count() == 0
+    for _ in range(2):  # the second time from the checkpoints
+        done = tr.fit(rows, none, ["key"], "features", WIDTH, settings, str(tmp_path / "b"), weights())
+        assert done.best_epoch == 2 and [r["val_loss"] for r in done.history.collect()] == [None] * 3
+        assert all((done.weights[n] == done.last[0][n]).all() for n in done.weights)

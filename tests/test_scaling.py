@@ -67,3 +67,10 @@ def test_float_columns_and_width(spark):
     assert cut == [1.0]
     v = spark.createDataFrame([([1.0, 2.0],), ([1.0],), ([1.0, None],), (None,)], "v array<double>")
     assert [r[0] for r in v.select(sc.valid_width("v", 2)).collect()] == [True, False, False, False]
+
+
+def test_frame_without_rows(spark):
+    none = spark.createDataFrame([], "a double, b double")
+    params = sc.fit_scaler(none, ["a", "b"])
+    assert sc.scaler_values(params) == {"a": (None, None), "b": (None, None)}
+    assert [tuple(r) for r in sc.scale_columns(spark.createDataFrame([(1.0, 2.0)], "a double, b double"), params).collect()] == [(None, None)]
