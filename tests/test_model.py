@@ -283,3 +283,10 @@ def test_fit_without_train_or_validation_rows(spark, rows, tmp_path):
         done = tr.fit(rows, none, ["key"], "features", WIDTH, settings, str(tmp_path / "b"), weights())
         assert done.best_epoch == 2 and [r["val_loss"] for r in done.history.collect()] == [None] * 3
         assert all((done.weights[n] == done.last[0][n]).all() for n in done.weights)
+
+
+def test_null_elements_give_null_scores(spark):
+    df = spark.createDataFrame([(0, [1.0] * WIDTH), (1, [None] + [1.0] * (WIDTH - 1)), (2, [1.0] * WIDTH)], "key int, features array<double>")
+    got = {r["key"]: r for r in md.infer(df, weights(), dtype="float64").collect()}
+    assert got[1]["neg_log_likelihood"] is None and set(got[1]["mean_z"]) == {None}
+    assert got[0][2:] == got[2][2:] and got[0]["neg_log_likelihood"] is not None

@@ -72,3 +72,17 @@ def test_sweep(spark, tmp_path):
     assert cache.sweep([kept]) == [other] and cache.keys() == [kept]
     rows, _ = cache.stage("a", ["x"], 1, lambda: spark.range(99))
     assert rows.count() == 3
+
+
+def test_all_rows_near_anomalies(spark, source, tmp_path):
+    """Without train and validation rows there are no scores; the run still ends whole, and again from its stages."""
+    mark = digest_files(spark, str(source))
+    rows = spark.read.parquet(str(source))
+    caches = [StageCache(spark, str(tmp_path / "cache")) for _ in range(2)]
+    for cache in caches:
+        done = analysed(spark, rows, cache, mark, window=dt.timedelta(days=60), choices={"lr": [0.01], "batch_size": [8.0], "beta": [0.1, 0.01]})
+        assert {tuple(r) for r in done.results.select("neg_log_likelihood", "mean_z_0", "smoothed_neg_log_likelihood", "prediction_point",
+                                                      "prediction_event", "dataset").collect()} == {(None, None, None, 0, 0, "test")}
+        assert done.results.count() == 1000 and [tuple(r) for r in done.metrics.collect()] == [(0.0, 0.0, 0.0, -1.6)]
+        assert [tuple(r) for r in done.scaler.collect()] == [("value", None, None)] and not done.model.history.count()
+    assert caches[1].reused == caches[0].built and not caches[1].built
