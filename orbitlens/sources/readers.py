@@ -33,18 +33,24 @@ def read_archives(spark: SparkSession, directory: str) -> tuple[DataFrame, DataF
 
     Returns the rows whose path names a year, and the paths of the files that name none.
     The year is looked for below the directory: in folder and file names, but not in the
-    ``part-`` names Spark gives to the files of one archive.
+    ``part-`` names Spark gives to the files of one archive. Paths are taken apart once a file, from the
+    listing, and each year is a scan of its own: doing it for every row costs more than reading the row.
     """
     rows = spark.read.option("recursiveFileLookup", "true").parquet(uri(directory))
-    located = rows.select(
-        "*", F.col("_metadata.file_path").alias("archive"), F.col("_metadata.row_index").alias("row_index")
-    )
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(uri(directory))
     below = F.element_at(F.split("archive", re.escape(uri(directory).rstrip("/")) + "/"), -1)
-    located = located.withColumn("year", path_year(F.regexp_replace(below, "(^|/)part-[^/]*$", "")))
-    return (
-        located.filter(F.col("year").isNotNull()),
-        located.filter(F.col("year").isNull()).select("archive").distinct(),
-    )
+    year = path_year(F.regexp_replace(below, "(^|/)part-[^/]*$", "")).alias("year")
+    listed = files.select("path", F.col("_metadata.file_path").alias("archive")).select("path", "archive", year).collect()
+    found = None
+    for at in sorted({f["year"] for f in listed if f["year"] is not None}):
+        # the names are no patterns
+        paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", f["path"]) for f in listed if f["year"] == at]
+        part = spark.read.schema(rows.schema).parquet(*paths).select(
+            "*", F.col("_metadata.file_path").alias("archive"), F.col("_metadata.row_index").alias("row_index"), F.lit(at).alias("year"))
+        found = part if found is None else found.union(part)
+    if found is None:
+        found = rows.limit(0).select("*", *[F.lit(None).cast(k).alias(n) for n, k in (("archive", "string"), ("row_index", "long"), ("year", "int"))])
+    return found, spark.createDataFrame([(f["archive"],) for f in listed if f["year"] is None], "archive string")
 
 
 def read_periods(spark: SparkSession, path: str, start: str, end: str, format: str = "csv") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orbitlens.functions.scalars import chunk_file_name, last_part
+from orbitlens.sources import row_groups
 
 
 def write_frame(df: DataFrame, path: str, mode: str = "error", partition_by: list[str] | None = None) -> None:
@@ -62,18 +63,32 @@ def write_archive_chunks(
 
     ``rows`` comes from :func:`orbitlens.sources.readers.read_archives`. Each chunk is one
     run of rows of one file, so rows go straight from the scan to the writer, without a
-    shuffle; a file holds at most one chunk of rows.
+    shuffle; a file holds at most one chunk of rows. Chunks are small and many, so what counts
+    is the price of a file: they are written by ``row_groups`` and listed from their footers.
     """
-    chunks = chunk_rows(rows, rows_per_group, groups_per_chunk, group_limit)
-    (
-        chunks.withColumn("archive", archive_name("archive")).drop("row_index")
-        .write.mode(mode)
-        .option("maxRecordsPerFile", rows_per_group * groups_per_chunk)
-        .partitionBy("year", "archive", "chunk")
-        .parquet(target)
+    target = target.rstrip("/")
+    chunks, spark = chunk_rows(rows, rows_per_group, groups_per_chunk, group_limit), rows.sparkSession
+    if mode not in ("error", "errorifexists", "append", "overwrite"):
+        raise ValueError(f"unknown mode {mode!r}")
+    if row_groups.exists(target):
+        if mode.startswith("error"):
+            raise ValueError(f"{target} exists")
+        if mode == "overwrite":
+            row_groups.remove(target)
+    row_groups.register(spark)
+    names = rows.select("archive").distinct().withColumn("__name", archive_name("archive"))
+    folder = F.concat(F.lit("year="), "year", F.lit("/archive="), "__name", F.lit("/chunk="), "chunk", F.lit("/"))
+    placed = chunks.join(F.broadcast(names), "archive").withColumn("file_name", folder).drop("row_index", "__name")
+    placed.write.format("chunk_files").mode("append").save(target)
+    place = r"/year=(-?\d+)/archive=([^/]+)/chunk=(\d+)/[^/]+$"
+    part = [F.regexp_extract("path", place, i + 1).cast(kind).alias(name)
+            for i, (name, kind) in enumerate((("year", "int"), ("archive", "string"), ("chunk", "int")))]
+    of = rows.schema[ts].dataType
+    written = (
+        row_groups.list_files(spark, target, ts)
+        .groupBy(*part)
+        .agg(F.min("start").cast(of).alias("start"), F.max("end").cast(of).alias("end"), F.sum("rows").alias("rows"))
     )
-    written = chunks.sparkSession.read.parquet(target).groupBy("year", "archive", "chunk").agg(
-        F.min(ts).alias("start"), F.max(ts).alias("end"), F.count("*").alias("rows"))
     stop = F.col("chunk") + F.ceil(F.col("rows") / rows_per_group).cast("int")
     return written.withColumn("file_name", chunk_file_name("chunk", stop))
 

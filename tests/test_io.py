@@ -193,3 +193,25 @@ def test_pipeline_with_model(spark, tmp_path, options):
     assert done.promoted.count() == int(m["composite_f1"] > 0.7)
     bands = plots.result_bands(done.results, "ts", ["event_id"], "Anomaly")
     assert {r["kind"] for r in bands.collect()} == {"test", "anomaly"}
+
+
+def test_paths_are_taken_apart_once_a_file(spark, archives):
+    """No expression of the path is worked out for every row of the archives."""
+    rows, _ = rd.read_archives(spark, str(archives / "in"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan and "split" not in plan
+    assert {tuple(r) for r in rows.groupBy("year").count().collect()} == {(2020, 95), (2021, 190)}
+
+
+def test_archive_chunks_modes_and_types(spark, archives):
+    rows, _ = rd.read_archives(spark, str(archives / "in"))
+    late = rows.filter("archive like '%archive_2020%'")
+    write = lambda mode: wr.write_archive_chunks(late, str(archives / "kept"), "t", 10, 4, mode=mode)
+    first = write("error")
+    assert first.schema["start"].dataType == rows.schema["t"].dataType
+    start = lambda: late.agg(F.min("t"), F.max("t")).first()
+    assert tuple(first.agg(F.min("start"), F.max("end")).first()) == tuple(start())
+    with pytest.raises(ValueError, match="exists"):
+        write("error")
+    assert write("append").agg(F.sum("rows")).first()[0] == 190
+    assert write("overwrite").agg(F.sum("rows")).first()[0] == 95
