@@ -85,3 +85,19 @@ def test_existing_files_are_kept_unless_overwritten(spark, uneven):
     assert sorted((p.name, p.stat().st_size) for p in (folder / "again").rglob("*.parquet")) == [b for b in before if b[0].endswith(".parquet")]
     rgs.rechunk(spark, str(folder / "in"), out, mode="overwrite")
     assert not list((folder / "again" / "_temporary").glob("*"))
+
+
+def test_large_footers_go_to_few_tasks(spark, uneven, monkeypatch):
+    folder, sizes, _ = uneven
+    monkeypatch.setattr(rgs, "LARGE_FOOTER", 8)
+    monkeypatch.setattr(rgs, "FOOTER_TASKS", 2)
+    monkeypatch.setattr(rgs, "LARGE_FOOTER_BYTES", 600)
+    runs = rgs.plan_runs(str(folder / "in"), 2, None)
+    assert [[(c.first, c.stop) for c in r.chunks] for r in runs if "a_2020" in r.chunks[0].path] == [
+        [(0, 2), (2, 4), (4, 6)], [(6, 8), (8, 10), (10, 11)]]
+    capped = rgs.plan_runs(str(folder / "in"), 2, 5)
+    assert [len(r.chunks) for r in capped if "a_2020" in r.chunks[0].path] == [3]
+    reader = rgs.RowGroupReader({"path": str(folder / "in"), "groups_per_chunk": "2"}, ["id"])
+    got = [(b.column("file_name")[0].as_py(), b.num_rows) for r in runs for b in reader.read(r)]
+    assert sum(n for _, n in got) == sum(sum(sizes[n]) for n in ("a_2020.parquet", "2021/x.parquet", "2021/y.parquet"))
+    assert len({n for n, _ in got}) == 9
