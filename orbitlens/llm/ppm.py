@@ -45,8 +45,12 @@ SYMBOLS = 256
 HEAD = 1 << 21
 #: grams and words seen less often than this are looked up by joins at every corpus size
 RARE = 4
-#: distinct grams and words a task gathers before it passes them on
-GATHER = 1 << 20
+#: bytes of text worked on at once, so that what a task holds stays small and near its caches
+SLICE = 1 << 19
+#: grams or words counted at once, and distinct ones a task gathers before it passes them on
+RUN, GATHER = 1 << 21, 1 << 21
+#: keys and counts travel in packed blocks, one for each of 2**BLOCK_BITS shares of the keys
+BLOCK_BITS, CODEC = 11, "zstd"
 GRAM, WORD = 0, 1
 
 
@@ -64,39 +68,64 @@ def grams(data: np.ndarray, bounds: np.ndarray, depth: int) -> tuple[np.ndarray,
     return key[out[depth:] != START], bounds + np.arange(n + 1)
 
 
-def _counted(values: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _counted(values: np.ndarray, *weights: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct values, sorted, each with the sums of its weights."""
+    if not len(values):
+        return values, *weights
     order = np.argsort(values, kind="stable")
-    values, weights = values[order], weights[order]
-    first = np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.empty(0, np.int64)
-    return values[first], np.add.reduceat(weights, first) if len(first) else weights
+    values = values[order]
+    first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    return values[first], *(np.add.reduceat(w[order], first) for w in weights)
+
+
+def _share(keys: np.ndarray, bits: int) -> np.ndarray:
+    """The upper bits of a multiplicative hash."""
+    return (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
 
 
 class _Gathered:
-    """Counts of 64-bit keys, merged slice by slice."""
+    """Counts of 64-bit keys, run by run, merged and passed on in blocks."""
 
     def __init__(self, kind: int, learnt: bool):
-        self.kind, self.learnt, self.parts, self.size = kind, learnt, [], 0
+        self.kind, self.learnt, self.parts, self.size, self.waiting, self.held = kind, learnt, [], 0, [], 0
 
     def add(self, values: np.ndarray) -> None:
-        if len(values):
-            found, n = np.unique(values, return_counts=True)
-            self.parts.append((found, n.astype(np.int64)))
-            self.size += len(found)
+        self.waiting.append(values)
+        self.held += len(values)
+        if self.held >= RUN:
+            self._count()
+
+    def _count(self) -> None:
+        found, n = np.unique(np.concatenate(self.waiting), return_counts=True)
+        self.waiting, self.held = [], 0
+        self.parts.append((found, n.astype(np.int64)))
+        self.size += len(found)
 
     def take(self, least: int) -> Iterator[pa.RecordBatch]:
         """Passes on what was gathered, if it is more than ``least``."""
-        if self.size <= least or not self.parts:
+        if self.held and not least:
+            self._count()
+        if self.size <= least:
             return
         values, n = _counted(*(np.concatenate(x) for x in zip(*self.parts)))
         if len(values) <= least // 2:
             self.parts, self.size = [(values, n)], len(values)
             return
         self.parts, self.size = [], 0
-        for i in range(0, len(values), 1 << 18):
-            v, c = values[i:i + (1 << 18)], n[i:i + (1 << 18)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(v), self.kind, np.int32)), pa.array(tx.signed(v)),
-                 pa.array(c if self.learnt else np.zeros(len(v), np.int64)), pa.array(c)], ["kind", "key", "learnt", "seen"])
+        share = _share(values, BLOCK_BITS).astype(np.uint16)
+        order = np.argsort(share, kind="stable")
+        values, n = values[order], n[order].view(np.uint64)
+        sizes = np.bincount(share, minlength=1 << BLOCK_BITS)
+        found, ends = np.flatnonzero(sizes), np.cumsum(sizes)
+        blocks = [pa.compress(np.concatenate([values[hi - size:hi], n[hi - size:hi]]), CODEC, asbytes=True)
+                  for hi, size in zip(ends[found], sizes[found])]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(found.astype(np.int32)), pa.array(np.full(len(found), self.kind, np.int32)),
+             pa.array(np.full(len(found), self.learnt)), pa.array(sizes[found]), pa.array(blocks, pa.binary())],
+            ["share", "kind", "learnt", "size", "block"])
+
+
+BLOCKS = "share int, kind int, learnt boolean, size bigint, block binary"
 
 
 def _gather(depth: int):
@@ -104,7 +133,7 @@ def _gather(depth: int):
         parts = {(kind, learnt): _Gathered(kind, learnt) for kind in (GRAM, WORD) for learnt in (True, False)}
         for batch in batches:
             held = batch.column("held_out").to_numpy(zero_copy_only=False)
-            for lo, hi, data, bounds in tx.slices(batch.column("text")):
+            for lo, hi, data, bounds in tx.slices(batch.column("text"), SLICE):
                 out = held[lo:hi]
                 found, cut = grams(data, bounds, depth)
                 of_held = np.repeat(out, np.diff(cut))
@@ -121,6 +150,30 @@ def _gather(depth: int):
     return run
 
 
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The blocks of whole shares, in any order, as (kind, key, learnt, seen) with one row a key."""
+    parts = {kind: [] for kind in (GRAM, WORD)}
+    pending = dict.fromkeys(parts, 0)
+    for batch in batches:
+        for kind, learnt, size, block in zip(*(batch.column(x) for x in ("kind", "learnt", "size", "block"))):
+            kind, size = kind.as_py(), size.as_py()
+            keys, n = np.frombuffer(pa.decompress(block.as_buffer(), 16 * size, CODEC), np.uint64).reshape(2, size)
+            n, held = n.view(np.int64), parts[kind]
+            held.append((keys, n if learnt.as_py() else np.zeros(size, np.int64), n))
+            pending[kind] += size
+            if pending[kind] >= max(GATHER, len(held[0][0])):
+                held[:] = [_counted(*(np.concatenate(x) for x in zip(*held)))]
+                pending[kind] = 0
+    for kind, held in parts.items():
+        if held:
+            keys, learnt, seen = _counted(*(np.concatenate(x) for x in zip(*held)))
+            for i in range(0, len(keys), 1 << 18):
+                k = keys[i:i + (1 << 18)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(k), kind, np.int32)), pa.array(tx.signed(k)), pa.array(learnt[i:i + (1 << 18)]),
+                     pa.array(seen[i:i + (1 << 18)])], ["kind", "key", "learnt", "seen"])
+
+
 def _low(name: str, k: int) -> Column:
     """The gram of order k at the end of a longer one."""
     return F.col(name).bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1))
@@ -174,9 +227,41 @@ def gram_scores(counts: DataFrame, depth: int) -> DataFrame:
     return learnt.union(unseen).join(counts.select("key", "seen"), "key")
 
 
+class _Table:
+    """A hash table of 64-bit keys, at most half full; made from keys in the order of their hashes, as a head travels."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        n = len(keys)
+        self.bits = max(1, (2 * n - 1).bit_length())
+        taken = np.zeros(n + 1, bool)
+        taken[keys[keys <= n].astype(np.int64)] = True
+        self.free = np.uint64(np.argmin(taken))  # stands in open places; not a key
+        # every key at its share or, where that is taken, right behind its predecessor; an open place ends the table
+        at = np.maximum.accumulate(_share(keys, self.bits).astype(np.int64) - np.arange(n)) + np.arange(n)
+        size = max(1 << self.bits, int(at[-1]) + 1 if n else 0) + 1
+        self.keys, self.values = np.full(size, self.free), np.full(size, np.nan)
+        self.keys[at], self.values[at] = keys, values
+
+    def look_up(self, wanted: np.ndarray) -> np.ndarray:
+        """Values of keys, nan where the table has none."""
+        at = _share(wanted, self.bits).astype(np.int64)
+        found = self.keys[at]
+        out = np.where(found == wanted, self.values[at], np.nan)
+        rest = np.flatnonzero((found != wanted) & (found != self.free))
+        at = at[rest]
+        while len(rest):
+            at += 1
+            found = self.keys[at]
+            hit = found == wanted[rest]
+            out[rest[hit]] = self.values[at[hit]]
+            on = ~hit & (found != self.free)
+            rest, at = rest[on], at[on]
+        return out
+
+
 def split_head(scored: DataFrame, head: int) -> tuple[tuple[np.ndarray, np.ndarray], DataFrame]:
-    """The keys seen RARE times or more, the most frequent ``head`` at most, sorted, with their values; the others as
-    (key, value)."""
+    """The keys seen RARE times or more, the most frequent ``head`` at most, in the order of their hashes, with their
+    values; the others as (key, value)."""
     power = F.floor(F.log2(F.col("seen").cast("double"))).cast("int")
     sizes = {r["power"]: r["n"] for r in scored.groupBy(power.alias("power")).agg(F.count("*").alias("n")).collect()}
     least, total = 1 << 62, 0
@@ -186,23 +271,10 @@ def split_head(scored: DataFrame, head: int) -> tuple[tuple[np.ndarray, np.ndarr
         least, total = 1 << p, total + sizes[p]
     got = scored.where(F.col("seen") >= least).select("key", "value").toArrow()
     keys = got["key"].to_numpy().view(np.uint64)
-    order = np.argsort(keys)
+    order = np.argsort(_share(keys, 64))
     return (keys[order], got["value"].to_numpy()[order]), scored.where(F.col("seen") < least).select("key", "value")
 
 
-def _look_up(table: tuple[np.ndarray, np.ndarray], values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Values of keys, nan where the table has none; by the distinct keys of the slice. And the keys' places."""
-    coded = pa.array(values).dictionary_encode()
-    distinct = coded.dictionary.to_numpy()
-    keys, found = table
-    out = np.full(len(distinct), np.nan)
-    if len(keys):
-        at = np.minimum(np.searchsorted(keys, distinct), len(keys) - 1)
-        hit = keys[at] == distinct
-        out[hit] = found[at[hit]]
-    return out[coded.indices.to_numpy()], np.isnan(out)
-
-
 def _rest(values: np.ndarray, missing: np.ndarray, bounds: np.ndarray) -> pa.Array:
     """Per document, the (key, times) of the keys that the head does not have."""
     where = np.flatnonzero(missing)
@@ -225,13 +297,14 @@ REST = "array<struct<key:bigint,times:bigint>>"
 
 def _score(depth: int, gram_head: Broadcast, word_head: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent_grams, frequent_words = _Table(*gram_head.value), _Table(*word_head.value)
         for batch in batches:
-            for lo, hi, data, bounds in tx.slices(batch.column("text")):
+            for lo, hi, data, bounds in tx.slices(batch.column("text"), SLICE):
                 found, cut = grams(data, bounds, depth)
-                value, _ = _look_up(gram_head.value, found)
+                value = frequent_grams.look_up(found)
                 words = tx.find_words(data, bounds, lower=True)
                 hashes = words.hashes()
-                count, _ = _look_up(word_head.value, hashes)
+                count = frequent_words.look_up(hashes)
                 no_gram, no_word = np.isnan(value), np.isnan(count)
                 known = np.where(no_word, 0, count)
                 yield pa.RecordBatch.from_arrays([
@@ -263,8 +336,8 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(held_out, F.lit(True)).alias("held_out"),
                        F.col(text).alias("text"))
     counts = materialize(
-        slim.select("held_out", "text").mapInArrow(_gather(depth), "kind int, key bigint, learnt bigint, seen bigint")
-        .groupBy("kind", "key").agg(F.sum("learnt").alias("learnt"), F.sum("seen").alias("seen")), "counts")
+        slim.select("held_out", "text").mapInArrow(_gather(depth), BLOCKS).repartition("share")
+        .mapInArrow(_merge, "kind int, key bigint, learnt bigint, seen bigint"), "counts")
     of_words = counts.where(F.col("kind") == WORD)
     ends = slim.where(~F.col("held_out")).count()
     words = of_words.where("learnt > 0").agg(F.sum("learnt").alias("n"), F.count("*").alias("v")).first()

@@ -271,3 +271,56 @@ def test_pipeline(spark):
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert pieces.select("doc_id").distinct().count() == len(after)
     assert corpus_pipeline.run(spark, SF).count() == pieces.count()
+
+
+def test_ppm_table_finds_what_a_dict_finds():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 7, 300, 5000):
+        keys = np.unique(np.concatenate([np.arange(n // 2), rng.integers(0, 1 << 64, n - n // 2, dtype=np.uint64)]).astype(np.uint64))
+        keys = keys[np.argsort(ppm._share(keys, 64))]
+        table, known = ppm._Table(keys, np.arange(len(keys)) + 0.5), dict(zip(keys.tolist(), np.arange(len(keys)) + 0.5))
+        wanted = np.concatenate([keys, np.arange(n + 3, dtype=np.uint64), rng.integers(0, 1 << 64, 500, dtype=np.uint64), [np.uint64(2**64 - 1)]])
+        found = table.look_up(wanted)
+        assert [None if math.isnan(x) else x for x in found.tolist()] == [known.get(k) for k in wanted.tolist()]
+
+
+def peak_mb(run):
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_ppm_tasks_hold_little():
+    """Counting and scoring 8 MB of texts takes the memory of a slice and of the tables, not of several megabytes of text."""
+    from types import SimpleNamespace
+
+    rng = np.random.default_rng(4)
+    letters = np.frombuffer(b"abcdefghijklmnop    ", np.uint8)
+    texts = [letters[rng.integers(0, len(letters), 4000)].tobytes().decode() for _ in range(2000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "held_out": [i % 10 == 0 for i in range(len(texts))], "text": texts})
+    empty = SimpleNamespace(value=(np.empty(0, np.uint64), np.empty(0)))
+    assert peak_mb(lambda: [None for _ in ppm._score(6, empty, empty)(iter([batch]))]) < 80
+
+
+def test_ppm_counts_travel_in_blocks():
+    """Ten times the same texts leave a task as few packed rows, which come back as one row a key."""
+    texts = ["ab ba", "", None, "abab zz"] * 10
+    held = [False, False, True, True] * 10
+    batch = pa.RecordBatch.from_pydict({"held_out": held, "text": pa.array(texts, pa.string())})
+    blocks = list(ppm._gather(2)(iter([batch, batch])))
+    rows = [r for b in ppm._merge(iter(blocks)) for r in b.to_pylist()]
+    assert len({(r["kind"], r["key"]) for r in rows}) == len(rows) and sum(b.num_rows for b in blocks) <= sum(1 + (0 < r["learnt"] < r["seen"]) for r in rows)
+    want, learnt = Counter(), Counter()
+    for t, out in zip(texts * 2, held * 2):
+        s = bytes([ppm.START] * 2) + (t or "").encode() + bytes([ppm.END])
+        for i in range(2, len(s)):
+            key = s[i] | s[i - 1] << 8 | s[i - 2] << 16
+            want[key] += 1
+            learnt[key] += not out
+    assert {r["key"]: (r["learnt"], r["seen"]) for r in rows if r["kind"] == ppm.GRAM} == {k: (learnt[k], n) for k, n in want.items()}
+    assert sum(r["seen"] for r in rows if r["kind"] == ppm.WORD) == 2 * 10 * (2 + 2)
