@@ -46,9 +46,9 @@ HEAD = 1 << 21
 #: grams and words seen less often than this are looked up by joins at every corpus size
 RARE = 4
 #: bytes of text worked on at once, so that what a task holds stays small and near its caches
-SLICE = 1 << 19
+SLICE = 1 << 18
 #: grams or words counted at once, and distinct ones a task gathers before it passes them on
-RUN, GATHER = 1 << 21, 1 << 21
+RUN, GATHER = 1 << 19, 1 << 21
 #: keys and counts travel in packed blocks, one for each of 2**BLOCK_BITS shares of the keys
 BLOCK_BITS, CODEC = 11, "zstd"
 GRAM, WORD = 0, 1
@@ -68,14 +68,22 @@ def grams(data: np.ndarray, bounds: np.ndarray, depth: int) -> tuple[np.ndarray,
     return key[out[depth:] != START], bounds + np.arange(n + 1)
 
 
-def _counted(values: np.ndarray, *weights: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The distinct values, sorted, each with the sums of its weights."""
-    if not len(values):
-        return values, *weights
+def _merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """The distinct values of parts, sorted, each with the sums of its weights; takes the parts, so they aren't held twice."""
+    columns = [list(x) for x in zip(*parts)]
+    parts.clear()
+
+    def taken(column: list[np.ndarray]) -> np.ndarray:
+        whole = np.concatenate(column)
+        column.clear()
+        return whole
+
+    values = taken(columns[0])
     order = np.argsort(values, kind="stable")
     values = values[order]
     first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
-    return values[first], *(np.add.reduceat(w[order], first) for w in weights)
+    values = values[first]
+    return values, *(np.add.reduceat(taken(w)[order], first) for w in columns[1:])
 
 
 def _share(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -107,7 +115,7 @@ class _Gathered:
             self._count()
         if self.size <= least:
             return
-        values, n = _counted(*(np.concatenate(x) for x in zip(*self.parts)))
+        values, n = _merged(self.parts)
         if len(values) <= least // 2:
             self.parts, self.size = [(values, n)], len(values)
             return
@@ -161,12 +169,12 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n, held = n.view(np.int64), parts[kind]
             held.append((keys, n if learnt.as_py() else np.zeros(size, np.int64), n))
             pending[kind] += size
-            if pending[kind] >= max(GATHER, len(held[0][0])):
-                held[:] = [_counted(*(np.concatenate(x) for x in zip(*held)))]
+            if pending[kind] >= max(RUN, len(held[0][0])):
+                held.append(_merged(held))
                 pending[kind] = 0
     for kind, held in parts.items():
         if held:
-            keys, learnt, seen = _counted(*(np.concatenate(x) for x in zip(*held)))
+            keys, learnt, seen = _merged(held)
             for i in range(0, len(keys), 1 << 18):
                 k = keys[i:i + (1 << 18)]
                 yield pa.RecordBatch.from_arrays(
@@ -228,34 +236,36 @@ def gram_scores(counts: DataFrame, depth: int) -> DataFrame:
 
 
 class _Table:
-    """A hash table of 64-bit keys, at most half full; made from keys in the order of their hashes, as a head travels."""
+    """Values of 64-bit keys, searched in the arrays of a head as they travel, in the order of the keys' hashes; only the
+    first place for each share of the hashes is added, so a task holds the head once."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         n = len(keys)
-        self.bits = max(1, (2 * n - 1).bit_length())
-        taken = np.zeros(n + 1, bool)
-        taken[keys[keys <= n].astype(np.int64)] = True
-        self.free = np.uint64(np.argmin(taken))  # stands in open places; not a key
-        # every key at its share or, where that is taken, right behind its predecessor; an open place ends the table
-        at = np.maximum.accumulate(_share(keys, self.bits).astype(np.int64) - np.arange(n)) + np.arange(n)
-        size = max(1 << self.bits, int(at[-1]) + 1 if n else 0) + 1
-        self.keys, self.values = np.full(size, self.free), np.full(size, np.nan)
-        self.keys[at], self.values[at] = keys, values
+        self.keys, self.values, self.bits = keys, values, max(1, (2 * n - 1).bit_length())
+        self.first = np.zeros((1 << self.bits) + 1, np.int32)
+        for i in range(0, n, RUN):
+            share = _share(keys[i:i + RUN], self.bits).astype(np.int64)
+            self.first[share[0] + 1:share[-1] + 2] += np.bincount(share - share[0]).astype(np.int32)
+        np.cumsum(self.first, out=self.first)
+        np.minimum(self.first, max(0, n - 1), out=self.first)
 
     def look_up(self, wanted: np.ndarray) -> np.ndarray:
         """Values of keys, nan where the table has none."""
-        at = _share(wanted, self.bits).astype(np.int64)
+        if not len(self.keys):
+            return np.full(len(wanted), np.nan)
+        hashes = _share(wanted, 64)
+        at = self.first[(hashes >> np.uint64(64 - self.bits)).astype(np.int64)].astype(np.int64)
         found = self.keys[at]
         out = np.where(found == wanted, self.values[at], np.nan)
-        rest = np.flatnonzero((found != wanted) & (found != self.free))
-        at = at[rest]
+        rest = np.flatnonzero(_share(found, 64) < hashes)
+        at = at[rest] + 1
         while len(rest):
-            at += 1
-            found = self.keys[at]
+            rest, at = rest[at < len(self.keys)], at[at < len(self.keys)]
+            found, sought = self.keys[at], hashes[rest]
             hit = found == wanted[rest]
             out[rest[hit]] = self.values[at[hit]]
-            on = ~hit & (found != self.free)
-            rest, at = rest[on], at[on]
+            on = _share(found, 64) < sought
+            rest, at = rest[on], at[on] + 1
         return out
 
 

@@ -324,3 +324,28 @@ def test_ppm_counts_travel_in_blocks():
             learnt[key] += not out
     assert {r["key"]: (r["learnt"], r["seen"]) for r in rows if r["kind"] == ppm.GRAM} == {k: (learnt[k], n) for k, n in want.items()}
     assert sum(r["seen"] for r in rows if r["kind"] == ppm.WORD) == 2 * 10 * (2 + 2)
+
+
+def test_ppm_tasks_hold_the_head_once():
+    """Look-ups add no second copy, but at most half more than its own size in passing, to a head of the largest size."""
+    rng = np.random.default_rng(5)
+    keys = np.unique(rng.integers(0, 1 << 56, ppm.HEAD, dtype=np.uint64))
+    keys = keys[np.argsort(ppm._share(keys, 64))]
+    values = np.arange(len(keys)) + 0.5
+    found = []
+    assert peak_mb(lambda: found.append(ppm._Table(keys, values).look_up(keys[::97]))) < 1.5 * (keys.nbytes + values.nbytes) / 1e6
+    assert np.array_equal(found[0], values[::97])
+
+
+def test_ppm_counting_holds_little():
+    """Counting 8 MB of texts of hardly any repeated gram, and bringing the counts together, doesn't hold them over and over."""
+    rng = np.random.default_rng(6)
+    letters = np.frombuffer(b"abcdefghijklmnop    ", np.uint8)
+    texts = [letters[rng.integers(0, len(letters), 4000)].tobytes().decode() for _ in range(2000)]
+    batch = pa.RecordBatch.from_pydict({"held_out": [False] * len(texts), "text": texts})
+    blocks = []
+    assert peak_mb(lambda: blocks.extend(ppm._gather(6)(iter([batch])))) < 150
+    parts = [b.filter(pa.array(b.column("share").to_numpy() % 4 == 0)) for b in blocks]
+    rows = []
+    assert peak_mb(lambda: rows.extend(b.num_rows for b in ppm._merge(iter(parts)))) < 115
+    assert sum(rows) > 1_000_000
